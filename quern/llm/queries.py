@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mpegts, secret_scan
+from . import bpe, decontam, langid, mpegts, secret_scan, simhash
 from .common import table
 
 #: Documents of this remainder are held out from learning.
@@ -27,11 +27,20 @@ def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mpegts.digests(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op5_secret_scan, op6_media_columns, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op5_secret_scan, op6_media_columns, op7_simhash, op8_decontamination, op10_byte_bpe)}
 
 #: DuckDB SQL for those that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
