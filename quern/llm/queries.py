@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontam, langid, mpegts, secret_scan, simhash
 from .common import table
 
-#: Documents of this remainder are held out from learning.
-_REMAINDER = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
+
+def _held_out() -> Column:
+    """Whether a document is held out from learning; one without an id is not."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = langid.fit(docs.where((_REMAINDER != 2) | F.col("doc_id").isNull()))
+    model = langid.fit(docs.where(~_held_out()))
     found = langid.predict(docs, model)
-    return found.select("doc_id", F.coalesce(_REMAINDER == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
