@@ -257,3 +257,19 @@ def digests(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path
         return row
 
     return map_rows(docs, [id_column, text], make, f"{id_column} bigint,n_tokens bigint,ids_sha256 string,decoded_sha256 string")
+
+
+def tokens(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """(id, n_tokens, ids array<int>, decoded_sha256) of every whole text: the ids, and a digest of what they decode to."""
+    raw, pattern = _vocabulary(path, pattern)
+
+    def make():
+        encoder = _encoder(raw, pattern)
+
+        def row(key, value):
+            ids = encoder.ids(value or "")
+            return key, len(ids), ids, hashlib.sha256(encoder.codec.decode(ids)).hexdigest()
+
+        return row
+
+    return map_rows(docs, [id_column, text], make, f"{id_column} bigint,n_tokens bigint,ids array<int>,decoded_sha256 string")

@@ -168,7 +168,10 @@ def predict(docs: DataFrame, model: Model, text: str = "text", id_column: str =
 
 
 def keep(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, whose language has at least ``least`` of the evidence."""
+    """The rows of docs, with all their columns, whose language has at least ``least`` of the evidence.
+
+    A model without languages cannot reject more than texts without letters.
+    """
     import pyarrow as pa
 
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -177,7 +180,11 @@ def keep(docs: DataFrame, model: Model, least: float, text: str = "text") -> Dat
     def run(batches):
         predictor = Predictor(shared.value)
         for batch in batches:
-            found = map(predictor.predict, batch.column(at).to_pylist())
-            yield batch.filter(pa.array([lang != "und" and share >= least for lang, share in found], type=pa.bool_()))
+            texts = batch.column(at).to_pylist()
+            if not predictor.model.langs:
+                kept = [bool(WORD.search(t or "")) for t in texts]
+            else:
+                kept = [lang != "und" and share >= least for lang, share in map(predictor.predict, texts)]
+            yield batch.filter(pa.array(kept, type=pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, mpegts, pii, secret_scan, simhash, urlfilter, warc
+from . import bpe, decontam, langid, mpegts, pii, quality, secret_scan, simhash, urlfilter, warc
 from .common import materialise, table
 
 
@@ -25,6 +25,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 #: (verdict, rule) in the order of the rules' list.
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
 
@@ -84,7 +88,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op2_language_id, op4_url_filter, op5_secret_scan, op6_media_columns, op7_simhash, op8_decontamination, op9_warc_fixity, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_personal_data, op2_language_id, op3_quality, op4_url_filter, op5_secret_scan, op6_media_columns, op7_simhash, op8_decontamination, op9_warc_fixity, op10_byte_bpe)}
 
 #: DuckDB SQL for those that SQL can express.
 ORACLE_SQL: dict[str, str] = {

@@ -122,11 +122,15 @@ def redacted(text: str, found: list[tuple[int, int, str]], by: str = "[SECRET]")
 
 
 def redact(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path: str | None = None, most: float = 2.0) -> DataFrame:
-    """docs with all secrets in text replaced; every other column and row stays, null text stays null."""
+    """docs with all secrets in text replaced; every row stays, null text stays null.
+
+    Of the other columns only ``n_chars``, if there is one of integers, follows the new text.
+    """
     import pyarrow as pa
 
     raw, pattern = _vocabulary(path)
     at = docs.columns.index(text)
+    count = docs.columns.index("n_chars") if dict(docs.dtypes).get("n_chars") == "bigint" else None
 
     def run(batches):
         tokenizer = _tokenizer(raw, pattern)
@@ -135,6 +139,9 @@ def redact(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path:
             for value in batch.column(at).to_pylist():
                 found = spans(value, tokenizer, most)[1] if value else None
                 new.append(redacted(value, found) if found else value)
-            yield batch.set_column(at, batch.schema.field(at), pa.array(new, type=batch.schema.field(at).type))
+            out = batch.set_column(at, batch.schema.field(at), pa.array(new, type=batch.schema.field(at).type))
+            if count is not None:
+                out = out.set_column(count, out.schema.field(count), pa.array([None if v is None else len(v) for v in new], type=pa.int64()))
+            yield out
 
     return docs.mapInArrow(run, docs.schema)
