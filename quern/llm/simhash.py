@@ -12,11 +12,9 @@ share exactly if they differ in at most two bits.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, map_rows, materialise
@@ -51,8 +49,13 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words: int = 3) -> DataFrame:
-    """(id, fp bigint) of every row."""
-    return map_rows(docs, [id_column, text], lambda: lambda key, value: (key, fingerprint(value, words)), f"{id_column} bigint,fp bigint")
+    """(id, fp bigint, text_hash bigint) of every row; text_hash is Spark's xxhash64 of the text, null as empty."""
+
+    def row(key, value):
+        digest = xxhash.xxh64_intdigest((value or "").encode(), SEED)
+        return key, fingerprint(value, words), digest - (1 << 64) if digest >> 63 else digest
+
+    return map_rows(docs, [id_column, text], lambda: row, f"{id_column} bigint,fp bigint,text_hash bigint")
 
 
 def segments(count: int) -> list[tuple[int, int]]:
@@ -119,8 +122,8 @@ def links(reps: DataFrame, most: int = 2, count: int = 7, crowd: int = 128) -> t
     return pairs, paths
 
 
-def groups(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words: int = 3, most: int = 2, count: int = 7, crowd: int = 128, sign: Callable[[str | None, int], int] | None = None) -> DataFrame:
-    """(id, fp, component_id) of every row: component_id is the least id that links lead to, its own included.
+def groups(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words: int = 3, most: int = 2, count: int = 7, crowd: int = 128) -> DataFrame:
+    """(id, fp, text_hash, component_id) of every row: component_id is the least id that links lead to, its own included.
 
     Equal fingerprints are one node; so exact copies, however many, cost one row each and no
     pair.  Null and empty texts have fingerprint zero.  A null id takes part but names no group:
@@ -133,11 +136,24 @@ def groups(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words
     labels = connected_components(edges)
     of, _ = materialise(reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id")), "groups")
     discard(spark, reps_path, *paths)
-    return signed.join(of, "fp").select(id_column, "fp", "component_id")
+    return signed.join(of, "fp").select(id_column, "fp", "text_hash", "component_id")
 
 
 def keep_one(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words: int = 3, most: int = 2, count: int = 7) -> DataFrame:
-    """The rows of docs, with all their columns, that represent their group: those of the least id, once each."""
-    found = groups(docs, text, id_column, words, most, count)
-    chosen = found.where(F.col(id_column).eqNullSafe(F.col("component_id"))).select(F.col(id_column).alias("_kept")).distinct()
-    return docs.join(chosen, F.col(id_column).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([id_column])
+    """docs, with all their columns, without all but one row of each group: that of the group's least id.
+
+    Rows with that id are told apart by their text, then by all their columns; the first stays.
+    Of groups whose ids are all null one row for each text stays.  What goes is joined, not
+    what stays, as it is the smaller part; texts are dealt out only if it is too large to broadcast.
+    """
+    found, _ = materialise(groups(docs, text, id_column, words, most, count), "found")
+    stays = F.col(id_column).eqNullSafe(F.col("component_id"))
+    gone = found.where(~stays).select(F.col(id_column).alias("gone"), F.col("text_hash").alias("gone_hash")).distinct()
+    repeats = found.where(stays).groupBy(id_column).agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    digest = F.xxhash64(F.coalesce(docs[text], F.lit("")))
+    kept = docs.join(gone, docs[id_column].eqNullSafe(gone["gone"]) & (digest == gone["gone_hash"]), "left_anti")
+    if repeats:
+        order = Window.partitionBy(id_column, F.when(F.col(id_column).isNull(), F.xxhash64(text))).orderBy(F.xxhash64(text), F.to_json(F.struct(*docs.columns)))
+        ranked = kept.select(F.struct(*docs.columns).alias("row"), F.row_number().over(order).alias("rank"))
+        kept = ranked.where("rank = 1").select("row.*")
+    return kept

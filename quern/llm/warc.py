@@ -59,8 +59,7 @@ def records_of(files: DataFrame, file: str = "path", content: str = "content") -
         return name, "\n".join("\t".join(map(str, x)) for x in found)
 
     lines = map_rows(files, [file, content], lambda: row, f"{file} string,lines string")
-    fields = F.split(F.explode(F.split("lines", "\n")), "\t", 4)
-    parts = lines.where("lines <> ''").select(file, fields.alias("f"))
+    parts = lines.where("lines <> ''").select(file, F.explode(F.split("lines", "\n")).alias("line")).select(file, F.split("line", "\t", 4).alias("f"))
     return parts.select(F.col(file).alias("file"), F.get("f", 0).cast("bigint").alias("record_offset"), F.get("f", 1).cast("bigint").alias("record_length"), F.get("f", 2).alias("digest"), F.get("f", 3).alias("uri"))
 
 
