@@ -713,8 +713,8 @@ def ctc_greedy(spark, sf):
 
 def _matrix():
     """The 64 values of a vector as 16 times of 4 classes that sum to one."""
-    rows = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda t: F.transform(F.slice("embedding", t * 4 + 1, F.lit(4)), lambda x: F.abs(x.cast("double")) + 0.001))
-    return F.transform(rows, lambda r: F.transform(r, lambda x: x / F.aggregate(r, F.lit(0.0), lambda a, y: a + y)))
+    x = [F.abs(F.get("embedding", F.lit(i)).cast("double")) + 0.001 for i in range(64)]
+    return F.array(*(F.array(*(x[t + c] / (x[t] + x[t + 1] + x[t + 2] + x[t + 3]) for c in range(4))) for t in range(0, 64, 4)))
 
 
 @query("""WITH v AS (SELECT vec_id, unnest(embedding) AS x, unnest(range(64)) AS i FROM embeddings), m AS (SELECT vec_id, i // 4 AS t, max(abs(CAST(x AS DOUBLE)) + 0.001) / sum(abs(CAST(x AS DOUBLE)) + 0.001) AS p FROM v GROUP BY ALL)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 def read_page_texts(spark: SparkSession, path: str) -> DataFrame:
     """(path, page, text) of the ``<page>.txt`` files under path, whole."""
-    found = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path)
+    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path, wholetext=True)
     name = F.col("_metadata.file_path")
     return found.select(name.alias("path"), F.regexp_extract(name, r"(\d+)\.txt$", 1).try_cast("int").alias("page"), F.col("value").alias("text"))
 
