@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 
 from .common import map_rows
 
-#: Pieces that a worker remembers; beyond it starts anew.  It bounds memory only.
-REMEMBERED = 400_000
+#: Pieces, and pairs of tokens, that a worker remembers; beyond it forgets.  They bound memory only.
+REMEMBERED, PAIRS = 300_000, 400_000
 
 
 class Codec:
@@ -33,8 +33,8 @@ class Codec:
         self.longest = max(map(len, ranks), default=1)
         #: Tokens that merges can make.  A token that they cannot make only ever stands for a whole piece.
         self.own: dict[bytes, int] = {}
-        self._right_edge: dict[int, tuple[tuple[int, int], ...]] = {}
-        self._left_edge: dict[int, tuple[tuple[int, int], ...]] = {}
+        self._right_edge: dict[int, tuple[int, ...]] = {}
+        self._left_edge: dict[int, tuple[int, ...]] = {}
         self._neighbours: dict[int, bool] = {}
         self._width = max(ranks.values(), default=0) + 1
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
@@ -50,29 +50,32 @@ class Codec:
         self._ends = {t[i:]: -1 for t in self.own for i in range(1, len(t))} | self.own
 
     def _admit(self, token: bytes, rank: int, halves: tuple[int, int] | None) -> None:
-        """An edge lists (part, rank of the merge that ends the part's life), from the largest part down."""
+        """An edge lists the parts at one end of a token, from the largest down; a part's life ends with the merge into the one before."""
         self.own[token] = rank
-        never = self._width
-        self._right_edge[rank] = ((rank, never),) + (tuple((p, min(d, rank)) for p, d in self._right_edge[halves[1]]) if halves else ())
-        self._left_edge[rank] = ((rank, never),) + (tuple((p, min(d, rank)) for p, d in self._left_edge[halves[0]]) if halves else ())
+        self._right_edge[rank] = (rank, *(self._right_edge[halves[1]] if halves else ()))
+        self._left_edge[rank] = (rank, *(self._left_edge[halves[0]] if halves else ()))
 
     def _may_meet(self, left: int, right: int, below: int | None = None) -> bool:
         """Whether merges of ranks under below leave left and right as they are, side by side."""
         ranks, text = self.ranks, self.bytes_of
-        for a, a_ends in self._right_edge[left]:
-            for b, b_ends in self._left_edge[right]:
+        a_ends = self._width
+        for a in self._right_edge[left]:
+            b_ends = self._width
+            for b in self._left_edge[right]:
                 if max(a, b) < min(a_ends, b_ends) or (len(text[a]) == 1 and len(text[b]) == 1):
                     joint = ranks.get(text[a] + text[b])
                     # of equal ranks the merge further left comes first
                     if joint is not None and joint < a_ends and joint <= b_ends and (below is None or joint < below):
                         return False
+                b_ends = b
+            a_ends = a
         return True
 
     def neighbours(self, left: int, right: int) -> bool:
         key = left * self._width + right
         found = self._neighbours.get(key)
         if found is None:
-            if len(self._neighbours) > 1_000_000:
+            if len(self._neighbours) > PAIRS:
                 self._neighbours.clear()
             found = self._neighbours[key] = self._may_meet(left, right)
         return found

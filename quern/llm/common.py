@@ -23,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
-    if not (spark.sparkContext.master or "").startswith("local["):
+    if not (spark.sparkContext.master + "[").startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     made = f"file://{tempfile.mkdtemp(prefix='quern-')}"
     spark.conf.set("spark.checkpoint.dir", made)
@@ -112,20 +112,25 @@ def map_rows(df: DataFrame, inputs: Iterable[str], make: Callable[[], Callable[.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
-        for batch in batches:
-            for part in parts(batch):
-                rows = [f(*values) for values in zip(*(part.column(i).to_pylist() for i in range(len(inputs))), strict=True)]
-                columns = zip(*rows, strict=True) if rows else [()] * len(names)
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(columns, out, strict=True)], schema=out)
+        for part in slices(batches):
+            rows = [f(*values) for values in zip(*(part.column(i).to_pylist() for i in range(len(inputs))), strict=True)]
+            columns = zip(*rows, strict=True) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(columns, out, strict=True)], schema=out)
 
     return df.select(*inputs).mapInArrow(run, schema)
 
 
-def parts(batch: pa.RecordBatch, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about most bytes, so that Python objects of few rows exist at a time."""
-    rows = max(1, batch.num_rows * most // max(batch.nbytes, 1))
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def slices(batches: Iterable[pa.RecordBatch], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about most bytes, so that Python objects of few rows exist at a time.
+
+    Workers live on between tasks; Arrow's memory comes from the system's pool, which gives
+    large blocks back at once.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
+    for batch in batches:
+        rows = max(1, batch.num_rows * most // max(batch.nbytes, 1))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<float>": pa.list_(pa.float32())}

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, parts
+from .common import arrow_schema, slices
 
 TOKEN = re.compile(r"[^\W_]+")
 
@@ -157,11 +157,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_colum
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, shared=shared):
-            for batch in batches:
-                for part in parts(batch):
-                    rows = [(key, *hit) for key, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) for hit in shared.value.find(value)]
-                    columns = zip(*rows, strict=True) if rows else [()] * len(out)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(columns, out, strict=True)], schema=out)
+            for part in slices(batches):
+                rows = [(key, *hit) for key, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) for hit in shared.value.find(value)]
+                columns = zip(*rows, strict=True) if rows else [()] * len(out)
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(columns, out, strict=True)], schema=out)
 
         hits = docs.select(id_column, text).mapInArrow(run, schema)
         found = hits if found is None else found.unionByName(hits)
@@ -175,7 +174,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", settings: S
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, shared=shared):
-            for batch in batches:
+            for batch in slices(batches):
                 yield batch.filter(pa.array([not shared.value.find(v) for v in batch.column(at).to_pylist()], type=pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_rows, slices
 
 #: A word: letters (and marks that stand among them) without digits and signs.
 WORD = re.compile(r"[^\W\d_]+")
@@ -62,7 +62,7 @@ class Model:
 
 
 #: Unknown words whose scores a task remembers; beyond it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 
 
 class Predictor:
@@ -179,7 +179,7 @@ def keep(docs: DataFrame, model: Model, least: float, text: str = "text") -> Dat
 
     def run(batches):
         predictor = Predictor(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(at).to_pylist()
             if not predictor.model.langs:
                 kept = [bool(WORD.search(t or "")) for t in texts]

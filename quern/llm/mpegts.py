@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import arrow_schema, map_rows, parts
+from .common import arrow_schema, map_rows, slices
 
 # Fixed values of ISO/IEC 13818-1.
 PACKET, SYNC, PAT_PID, NULL_PID, CLOCK = 188, 0x47, 0, 0x1FFF, 90_000
@@ -234,14 +234,13 @@ def units(media: DataFrame, column: str = "media", id_column: str = "doc_id") ->
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
-            for part in parts(batch):
-                rows = []
-                for key, stream in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    got = parse(stream or b"")
-                    rows += [(key, u.pid, got.streams[u.pid], i, u.pts, u.dts, u.random_access, u.offset, u.whole, len(got.gaps), u.data) for i, u in enumerate(got.units)]
-                columns = zip(*rows, strict=True) if rows else [()] * len(schema)
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
+        for part in slices(batches):
+            rows = []
+            for key, stream in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                got = parse(stream or b"")
+                rows += [(key, u.pid, got.streams[u.pid], i, u.pts, u.dts, u.random_access, u.offset, u.whole, len(got.gaps), u.data) for i, u in enumerate(got.units)]
+            columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
 
     return media.select(id_column, column).mapInArrow(run, f"{id_column} bigint,pid int,stream_type int,unit int,pts bigint,dts bigint,random_access boolean,byte_offset bigint,whole boolean,gaps int,data binary")
 

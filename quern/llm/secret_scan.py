@@ -14,7 +14,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
-from .common import map_rows
+from .common import map_rows, slices
 
 #: The fixed forms by kind, in their order: pattern, and least length of the group that counts.
 KINDS = {
@@ -134,7 +134,7 @@ def redact(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path:
 
     def run(batches):
         tokenizer = _tokenizer(raw, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             new = []
             for value in batch.column(at).to_pylist():
                 found = spans(value, tokenizer, most)[1] if value else None
