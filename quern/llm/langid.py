@@ -21,6 +21,12 @@ WORD = re.compile(r"[^\W\d_]+")
 _NATIVE_WORD = r"[\p{L}]+"
 
 
+def words_of(text: str | None) -> list[str]:
+    """The words of a text in lower case; none if they hold no letter (superscripts and fractions alone, say)."""
+    words = WORD.findall((text or "").lower())
+    return words if any(c.isalpha() for w in words for c in w) else []
+
+
 @dataclass(frozen=True)
 class Settings:
     """Bounds of the fitted model.  They bound what is learned, never what is predicted.
@@ -92,7 +98,7 @@ class Predictor:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and its share in the mean evidence of all words; ties go to the first in order."""
-        words = WORD.findall((text or "").lower())
+        words = words_of(text)
         if not words or not self.model.langs:
             return "und", 0.0
         try:
@@ -182,7 +188,7 @@ def keep(docs: DataFrame, model: Model, least: float, text: str = "text") -> Dat
         for batch in slices(batches):
             texts = batch.column(at).to_pylist()
             if not predictor.model.langs:
-                kept = [bool(WORD.search(t or "")) for t in texts]
+                kept = [bool(words_of(t)) for t in texts]
             else:
                 kept = [lang != "und" and share >= least for lang, share in map(predictor.predict, texts)]
             yield batch.filter(pa.array(kept, type=pa.bool_()))

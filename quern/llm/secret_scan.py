@@ -10,7 +10,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from functools import lru_cache
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
@@ -75,7 +77,13 @@ def random_spans(text: str, tokenizer, most: float) -> list[tuple[int, int, str]
 def spans(text: str, tokenizer, most: float) -> tuple[list, list]:
     """The fixed forms; and all spans, which are those and random runs that overlap none of them."""
     base = base_spans(text)
-    more = [x for x in random_spans(text, tokenizer, most) if not any(x[0] < b[1] and b[0] < x[1] for b in base)]
+    starts, ends = [b[0] for b in base], list(accumulate((b[1] for b in base), max))
+    more = []
+    for run in random_spans(text, tokenizer, most):
+        # of the fixed forms that start before the run's end, the furthest end tells whether one reaches into it
+        before = bisect_left(starts, run[1])
+        if not before or ends[before - 1] <= run[0]:
+            more.append(run)
     return base, sorted(base + more, key=lambda x: (x[0], ORDER.index(x[2])))
 
 

@@ -109,6 +109,7 @@ def test_language_held_out(spark, docs, empty):
     assert odd[1] == odd[2] == odd[3] == "und" and odd[9] == "en"
     unseen = langid.predict(spark.createDataFrame([(1, "schönheiten")], "doc_id long, text string"), model).first()
     assert unseen.lang_pred == "de"
+    assert langid.Predictor(model).predict("½ ² 12") == ("und", 0.0)
     assert langid.predict(empty, model).count() == 0
     nothing = langid.fit(empty)
     assert {r.lang_pred for r in langid.predict(docs, nothing).collect()} == {"und"}
@@ -225,6 +226,12 @@ def test_random_strings_are_told_from_names():
     base, every = secret_scan.spans(text, tokenizer, 2.0)
     assert [text[s:e] for s, e, k in every if k == "random"] == ["Zx9qLr2VbT7wKp4mNc8YsD1f"]
     assert "Zx9q" not in secret_scan.redacted(text, every)
+    for seed in range(200):
+        r = random.Random(seed)
+        mixed = "".join(r.choice(["token=", "password: ", "0123abcd" * 3, "AKIA" + "Q7" * 9, "zK9vQ2xW7jR4tB8n", " ", "-", "/"]) for _ in range(30))
+        base, every = secret_scan.spans(mixed, tokenizer, 2.0)
+        more = [x for x in secret_scan.random_spans(mixed, tokenizer, 2.0) if all(x[1] <= b[0] or b[1] <= x[0] for b in base)]
+        assert sorted(every) == sorted(base + more)
 
 
 def test_redaction_keeps_rows(spark, docs):
