@@ -140,13 +140,18 @@ def groups(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words
 
 
 def keep_one(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words: int = 3, most: int = 2, count: int = 7) -> DataFrame:
+    """docs without all but one row of each group, see ``one_of_each``."""
+    found, _ = materialise(groups(docs, text, id_column, words, most, count), "found")
+    return one_of_each(docs, found, text, id_column)
+
+
+def one_of_each(docs: DataFrame, found: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """docs, with all their columns, without all but one row of each group: that of the group's least id.
 
     Rows with that id are told apart by their text, then by all their columns; the first stays.
     Of groups whose ids are all null one row for each text stays.  What goes is joined, not
     what stays, as it is the smaller part; texts are dealt out only if it is too large to broadcast.
     """
-    found, _ = materialise(groups(docs, text, id_column, words, most, count), "found")
     stays = F.col(id_column).eqNullSafe(F.col("component_id"))
     gone = found.where(~stays).select(F.col(id_column).alias("gone"), F.col("text_hash").alias("gone_hash")).distinct()
     repeats = found.where(stays).groupBy(id_column).agg(F.count("*").alias("n")).where("n > 1").limit(1).count()

@@ -10,7 +10,7 @@ import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, decontam, langid, mpegts, pii, quality, queries, secret_scan, simhash, urlfilter, warc
+from quern.llm import bpe, decontam, langid, mpegts, neardup, pii, quality, queries, secret_scan, simhash, stages, urlfilter, warc
 from quern.llm.components import connected_components
 
 WORDS = "the of and to in that with for was are from thing other blend ounce eran thion heor".split()
@@ -334,6 +334,26 @@ def test_pigeonring_loses_no_pair():
             assert any(all(sum(ring[(i + k) % count] for k in range(n)) <= n * most // count for n in range(1, count + 1)) for i in range(count))
 
 
+@pytest.mark.parametrize("crowd", [64, 2])
+def test_copies_that_differ_in_words_go(spark, crowd):
+    r, texts = random.Random(8), []
+    for k in range(12):
+        words = prose(60 + 40 * k, k, [f"w{n}" for n in range(400)]).split()
+        for share in (0, 0.01, 0.02, 0.03, 0.05, 0.1):
+            texts.append(" ".join(f"n{r.random()}" if r.random() < share else w for w in words))
+    rows = spark.createDataFrame([*enumerate(texts), (900, None), (901, ""), (902, "two words"), (903, "TWO  words")], "doc_id long, text string")
+    sets = [set(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in texts]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    first = dict(zip(range(len(texts)), range(len(texts)), strict=True))
+    for _ in texts:
+        for i, j in pairs:
+            first[i] = first[j] = min(first[i], first[j])
+    got = {x.doc_id: x.component_id for x in neardup.groups(rows, crowd=crowd).collect()}
+    assert len(pairs) > 20 and got == first | {900: 900, 901: 900, 902: 902, 903: 902}
+    kept = {x.doc_id for x in stages.near_duplicates(spark, rows, "").collect()}
+    assert kept == {i for i, c in got.items() if i == c}
+
+
 def test_one_of_each_group_stays(spark, docs, empty):
     kept = table(simhash.keep_one(docs), "doc_id")
     assert kept == sorted([(i,) for i in (1, 4, 5, 6, 7, 9, 10, 11, 12, 13, None)], key=repr)
