@@ -79,6 +79,11 @@ class Predictor:
         self.at = dict(model.words)
         self.scores = np.zeros((known + REMEMBERED, len(model.langs)), dtype=np.float32)
         self.scores[:known] = model.word_scores
+        #: How much of each word the model has seen: 1 for known words, else the share that the known n-grams reach of the longest ones possible.
+        self.fits = np.ones(len(self.scores), dtype=np.float32)
+        self.sizes = np.zeros(len(model.gram_scores))
+        for gram, row in model.grams.items():
+            self.sizes[row] = len(gram)
 
     def _learn(self, words: list[str]) -> None:
         model, n = self.model, len(self.at)
@@ -88,19 +93,29 @@ class Predictor:
             places = [model.places(w) for w in words[k : k + REMEMBERED]]
             sizes = np.array([len(p) for p in places])
             rows = model.gram_scores[np.concatenate(places)]
-            means = np.add.reduceat(rows, np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0) / sizes[:, None]
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            means = np.add.reduceat(rows, starts, axis=0) / sizes[:, None]
+            reached = np.add.reduceat(self.sizes[np.concatenate(places)], starts)
+            # the ends of the marked word's n-grams are 2, 3 and so on; an n-gram is no longer than its end
+            most = np.array([sum(min(end, model.longest) for end in range(2, min(m, model.longest) + 2)) + model.longest * max(0, m - model.longest) for m in sizes.tolist()])
             if n + len(places) > len(self.scores):
                 self.scores = np.concatenate([self.scores, np.zeros((len(places), len(model.langs)), dtype=np.float32)])
+                self.fits = np.concatenate([self.fits, np.ones(len(places), dtype=np.float32)])
             self.scores[n : n + len(places)] = means
+            self.fits[n : n + len(places)] = reached / most
             for w in words[k : k + REMEMBERED]:
                 self.at[w] = n
                 n += 1
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and its share in the mean evidence of all words; ties go to the first in order."""
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, float]:
+        """As ``predict``, and the mean of the words' fits, which tells texts of languages that were not learned."""
         words = words_of(text)
         if not words or not self.model.langs:
-            return "und", 0.0
+            return "und", 0.0, 0.0
         try:
             rows = [self.at[w] for w in words]
         except KeyError:
@@ -112,7 +127,7 @@ class Predictor:
         share = np.exp(mean - mean.max())
         share /= share.sum()
         best = int(share.argmax())
-        return self.model.langs[best], float(share[best])
+        return self.model.langs[best], float(share[best]), float(self.fits[rows].mean(dtype=np.float64))
 
 
 def _frequencies(rows: list, langs: list[str], smoothing: float) -> tuple[dict[str, int], np.ndarray]:
@@ -173,8 +188,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", id_column: str =
     return map_rows(docs, [id_column, text], make, f"{id_column} bigint,lang_pred string,score double")
 
 
-def keep(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, whose language has at least ``least`` of the evidence.
+def keep(docs: DataFrame, model: Model, least: float, text: str = "text", fit: float = 0.0) -> DataFrame:
+    """The rows of docs, with all their columns, whose language has at least ``least`` of the evidence and whose words fit the model by at least ``fit``.
 
     A model without languages cannot reject more than texts without letters.
     """
@@ -190,7 +205,7 @@ def keep(docs: DataFrame, model: Model, least: float, text: str = "text") -> Dat
             if not predictor.model.langs:
                 kept = [bool(words_of(t)) for t in texts]
             else:
-                kept = [lang != "und" and share >= least for lang, share in map(predictor.predict, texts)]
+                kept = [lang != "und" and share >= least and seen >= fit for lang, share, seen in map(predictor.judge, texts)]
             yield batch.filter(pa.array(kept, type=pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

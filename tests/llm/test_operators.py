@@ -116,6 +116,16 @@ def test_language_held_out(spark, docs, empty):
     assert langid.keep(docs, nothing, 0.3).count() == len([t for _, t in AWKWARD if t and langid.WORD.search(t)])
 
 
+def test_texts_in_languages_not_learned_go(spark):
+    r = random.Random(4)
+    langs = {"en": WORDS, "de": "der die und nicht schön über ich auch kein wieder".split(), "fr": "le la et où être déjà très pas vous même".split()}
+    rows = [(i, prose(30, i, langs[x]), x) for i, x in enumerate(list(langs) * 40)]
+    odd = ["Это обычный русский текст, который мы написали", "これは日本語の文章です", "Wszyscy ludzie rodzą się wolni i równi", " ".join("".join(r.choices("bcdfghjklmnpqrstvwxz", k=6)) for _ in range(20))]
+    rows += [(1000 + i, t, None) for i, t in enumerate(odd)] + [(2000, "Der schön, wieder und 77!", None)]
+    kept = {x.doc_id for x in stages.language_id(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "").collect()}
+    assert kept == {*range(120), 2000}
+
+
 # 3
 
 
