@@ -563,9 +563,9 @@ def norm_edit_distance(spark, sf):
 
 @query()
 def char_similarity(spark, sf):
-    """Of each distinct line of at most 400 characters and its misreading: the cost of one pair is above quadratic."""
-    lines = table(spark, sf, "conversations").select(F.explode(F.split("text", "\n")).alias("line")).distinct().where(F.length("line") <= 400)
-    return lines.select("line", F.round(ratio(text.fold_metric(F.translate("line", "aeo", "eoa")), text.fold_metric(F.col("line"))), 6).alias("similarity"))
+    """Of every line of every turn, whatever its length, and its misreading; a null text is one null line."""
+    lines = table(spark, sf, "conversations").select("conv_id", "turn", F.posexplode_outer(F.split("text", "\n")).alias("at", "line"))
+    return lines.select("conv_id", "turn", "at", "line", F.round(ratio(text.fold_metric(F.translate("line", "aeo", "eoa")), text.fold_metric(F.col("line"))), 6).alias("similarity"))
 
 
 _CONFUSED = f"""{PREDICTIONS}, w AS (SELECT string_split(tok, '') AS a, string_split(read, '') AS b FROM pred WHERE read <> tok), c AS (SELECT unnest(a) AS truth, unnest(b) AS predicted FROM w),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quern.functions import sequences, text
 from quern.functions.charset import charset
 from quern.operators import align, checks, confusion, ctc, holdout, lexicon, metrics, overlap, profile, runs, sampling
+from quern.plans import queries
 from quern.sources import files, labels, manifest
 from quern.streaming import manifest as streaming
 
@@ -277,6 +278,20 @@ def test_scans(spark, tmp_path):
     assert rows(files.read_detections(spark, str(tmp_path / "d"))) == [(3, "x", 1.0, 2.0, 9.0, 8.0, 0.5)]
 
 
+def test_every_line_gets_a_similarity(spark, tmp_path):
+    said = [(1, 0, "one\n" + "a long line of words " * 40), (1, 1, "one\none"), (2, 0, None), (2, 1, "")]
+    spark.createDataFrame(said, "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r.conv_id, r.turn, r["at"]): (r.line, r.similarity) for r in queries.char_similarity(spark, str(tmp_path)).collect()}
+    lines = [(c, t, k, line) for c, t, x in said for k, line in (enumerate(x.split("\n")) if x is not None else [(None, None)])]
+    assert {k: v[0] for k, v in got.items()} == {(c, t, k): line for c, t, k, line in lines}
+    for line, found in got.values():
+        if line is None:
+            assert found is None
+        else:
+            folded = " ".join(line.split())
+            assert found == round(difflib.SequenceMatcher(None, folded.translate(str.maketrans("aeo", "eoa")), folded, autojunk=False).ratio(), 6)
+
+
 def test_stream_upserts_once(spark, tmp_path):
     source, target, ckpt = (str(tmp_path / x) for x in ("in", "out", "ckpt"))
     schema = "page_number long, text string"
