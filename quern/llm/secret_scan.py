@@ -34,6 +34,8 @@ _HEX = re.compile(r"[0-9A-Fa-f]+")
 #: Lengths in hex digits of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
 DIGESTS = {32, 40, 56, 64, 96, 128}
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+#: A part of a run that a path or name joins; one of at least a run's length is tested by itself.
+_JOINED = re.compile(r"[A-Za-z0-9+]{16,}")
 _NUMBER = re.compile(r"[0-9_+/=-]+")
 
 
@@ -45,15 +47,22 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda x: (x[0], ORDER.index(x[2])))
 
 
-def is_known(run: str) -> bool:
-    """Whether a run is a digest of a known length, a UUID, a number, or a name made of words."""
+def is_hard(run: str, tokenizer, most: float) -> bool:
+    """Whether run has at most ``most`` characters for each token; a run of capitals counts as in lower case, if that is easier."""
+    fewest = len(tokenizer.encode_ordinary(run))
+    if run.isupper():
+        fewest = min(fewest, len(tokenizer.encode_ordinary(run.lower())))
+    return len(run) <= most * fewest
+
+
+def is_known(run: str, tokenizer, most: float) -> bool:
+    """Whether a run is a digest of a known length, a UUID, a number, or a name made of words, which are letters in few tokens."""
     if _UUID.fullmatch(run) or _NUMBER.fullmatch(run) or _HEX.fullmatch(run) and len(run) in DIGESTS:
         return True
-    if not any(c.isdigit() for c in run) and (run.islower() or run.isupper() or run.istitle()):
-        return True
-    parts = _PART.findall(run)
-    words = sum(len(p) for p in parts if len(p) >= 4 and p[0].isalpha())
-    return words >= 0.7 * len(run)
+    words = [p for p in _PART.findall(run) if len(p) >= 4 and p[0].isalpha()]
+    if sum(map(len, words)) < 0.7 * len(run):
+        return False
+    return sum(len(p) for p in words if not is_hard(p, tokenizer, most)) >= 0.7 * len(run)
 
 
 @lru_cache(maxsize=2)
@@ -65,12 +74,17 @@ def _tokenizer(raw: bytes, pattern: str):
 
 
 def random_spans(text: str, tokenizer, most: float) -> list[tuple[int, int, str]]:
-    """Runs of key characters with at most ``most`` characters for each token, known ones left out."""
+    """Runs of key characters with at most ``most`` characters for each token, or else such parts of them; known ones left out."""
+
+    def counts(run: str) -> bool:
+        return is_hard(run, tokenizer, most) and not is_known(run, tokenizer, most)
+
     found = []
     for m in _CANDIDATE.finditer(text):
-        run = m[0]
-        if not is_known(run) and len(run) <= most * len(tokenizer.encode_ordinary(run)):
+        if counts(m[0]):
             found.append((m.start(), m.end(), RANDOM))
+        elif not _UUID.fullmatch(m[0]):
+            found += [(m.start() + p.start(), m.start() + p.end(), RANDOM) for p in _JOINED.finditer(m[0]) if len(p[0]) < len(m[0]) and counts(p[0])]
     return found
 
 

@@ -244,6 +244,15 @@ def test_random_strings_are_told_from_names():
         assert sorted(every) == sorted(base + more)
 
 
+def test_letters_alone_and_parts_of_paths_can_be_secrets():
+    tokenizer = secret_scan._tokenizer(*secret_scan._vocabulary(None))
+    for key in ("qzxkvjwpmbtrhfgd", "QZXKVJWPMBTRHFGD"):
+        for text in (f"use {key} now", f"see src/main/application/configuration/settings/{key} now"):
+            assert [text[s:e] for s, e, _ in secret_scan.random_spans(text, tokenizer, 2.0)][-1:] == [key]
+    for name in ("internationalization", "RESPONSIBILITIES", "Donaudampfschifffahrt", "github/organization/repository/documentation"):
+        assert secret_scan.random_spans(name, tokenizer, 2.0) == []
+
+
 def test_redaction_keeps_rows(spark, docs):
     got = secret_scan.redact(docs)
     assert got.columns == docs.columns and got.count() == len(AWKWARD)
