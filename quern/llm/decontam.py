@@ -11,6 +11,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,29 @@ from .common import arrow_schema, slices
 
 TOKEN = re.compile(r"[^\W_]+")
 
-#: The masks.  Of any 12 tokens with two replaced, one of them finds nearly always a place.
-MASKS = ("1110110101", "110100110111", "11011000111", "101111001001", "111111")
+#: The masks.  Of any 15 tokens with up to three replaced, one of them always finds a place.
+MASKS = ("1110110101", "110100110111", "11011000111", "101111001001", "111111", "11100010100011", "11110101001")
+_COVERED = (15, 3)
+
+
+@lru_cache(maxsize=256)
+def placed_masks(width: int, misses: int) -> tuple[tuple[int, ...], ...]:
+    """Places out of a window of width tokens, so that whichever ``misses`` tokens are replaced, all places of one mask are kept.
+
+    Parts of the window, one more than misses, are such masks; where they would have fewer
+    than four places and the ways to replace are few, masks of four or more are chosen one by one.
+    """
+    parts = tuple(tuple(range(width * k // (misses + 1), width * (k + 1) // (misses + 1))) for k in range(misses + 1))
+    size = min(5, width - misses)
+    if min(map(len, parts)) >= 4 or width > 15 or size < 4:
+        return parts
+    left = set(combinations(range(width), misses))
+    masks, chosen = list(combinations(range(width), size)), []
+    while left:
+        best = max(masks, key=lambda m: sum(not set(m).intersection(p) for p in left))
+        chosen.append(best)
+        left = {p for p in left if set(best).intersection(p)}
+    return tuple(chosen)
 
 
 @dataclass(frozen=True)
@@ -53,15 +76,22 @@ class Index:
         rng = np.random.default_rng(42)
         self.codes = rng.integers(1, 2**63, size=len(self.vocabulary) + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.codes[0] = 0
-        #: An item that no mask fits in is sought as a whole.
         self.masks = [np.flatnonzero(np.frombuffer(m.encode(), dtype=np.uint8) == 49) for m in MASKS]
-        whole = sorted({len(t) for t in self.tokens if len(t) < min(map(len, MASKS))})
-        self.masks += [np.arange(n) for n in whole]
+        #: For each mask the width of the items or windows it is made for, if not for all.
+        self.widths: list[int | None] = [None] * len(self.masks)
+        for width in sorted({min(len(t), settings.window) for t in self.tokens}):
+            misses = sum(width - n >= settings.share * width for n in range(1, width + 1))
+            if width < _COVERED[0] or misses > _COVERED[1]:
+                more = placed_masks(width, misses)
+                self.masks += [np.array(m) for m in more]
+                self.widths += [width] * len(more)
         self.factors = rng.integers(1, 2**62, size=(len(self.masks), max(map(len, self.masks))), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.tables = []
         for m, mask in enumerate(self.masks):
             hashes, owners, places = [], [], []
             for i, t in enumerate(self.tokens):
+                if self.widths[m] not in (None, min(len(t), settings.window)):
+                    continue
                 h = self._hash(self.codes[t], m)
                 hashes.append(h)
                 owners.append(np.full(len(h), i))

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -384,6 +385,19 @@ def test_one_of_each_group_stays(spark, docs, empty):
 # 8
 
 
+@pytest.mark.parametrize("width", range(5, 17))
+def test_every_placing_of_replaced_words_is_found(width):
+    item = [f"w{k}" for k in range(width)]
+    index = decontam.Index([(1, " ".join(item))], decontam.Settings())
+    wide = min(width, 15)
+    for count in range(wide // 5 + 1):
+        if wide - count < 0.8 * wide:
+            continue
+        for places in itertools.combinations(range(wide), count):
+            found = index.find("before " + " ".join(f"x{k}" if k in places else w for k, w in enumerate(item[:wide])) + " after")
+            assert [x[:3] for x in found] == [(1, wide - count, wide)], places
+
+
 def test_benchmark_passages(spark, docs, empty):
     vocabulary = [f"{a}{b}" for a in "bcdfg" for b in ("an", "el", "ir", "os", "um", "ay", "en")]
     items = [(k, prose(n, 900 + k, vocabulary)) for k, n in enumerate([5, 8, 12, 20, 35, 60])] + [(50, None), (51, ""), (52, "too short item")]
