@@ -100,7 +100,7 @@ def _instances(text: Column, base: Column, settings: Settings) -> Column:
                     y["s"].alias("s"),
                     (y["s"] + F.length(y["v"])).alias("e"),
                     y["v"].alias("v"),
-                    F.regexp_replace(F.regexp_replace(y["v"], "[A-Za-z]+", "a"), "[0-9]", "9").alias("shape"),
+                    F.regexp_replace(F.regexp_replace(y["v"], "[A-Za-z]+", "a"), "[0-9]+", "9").alias("shape"),
                     _edge_word(y["before"], True).alias("l"),
                     _edge_word(y["after"], False).alias("r"),
                     F.array_min(F.transform(F.filter(x["base"], lambda b: (b["s"] < y["s"] + F.length(y["v"])) & (y["s"] < b["e"])), lambda b: b["k"])).alias("k"),

@@ -90,6 +90,13 @@ def test_personal_data_bootstraps(spark):
     assert found[101] == ""
 
 
+def test_learned_contexts_accept_other_lengths(spark):
+    seeds = [(i, f"{prose(4, i)} account 10.1.2.{i} {prose(3, i + 99)}") for i in range(40)]
+    unseen = "later account 1000.22.333.99999 here"
+    found = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame([*seeds, (100, unseen)], "doc_id long, text string")).collect()}
+    assert found[100] == "ip:14:31"
+
+
 def test_running_sums_are_whole(spark):
     text = " ".join(f"u{i}@h{i % 7}.org" for i in range(1500))
     row = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
