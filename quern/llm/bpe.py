@@ -18,7 +18,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from .common import map_rows
+from .common import map_rows, typed
 
 #: Pieces, and pairs of tokens, that a worker remembers; beyond it forgets.  They bound memory only.
 REMEMBERED, PAIRS = 300_000, 400_000
@@ -242,7 +242,7 @@ def encode(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path:
 
         return row
 
-    return map_rows(docs, [id_column, text], make, f"{id_column} bigint,ids array<int>,decoded string")
+    return map_rows(docs, [id_column, text], make, f"{typed(docs, id_column)},ids array<int>,decoded string")
 
 
 def digests(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -259,7 +259,7 @@ def digests(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path
 
         return row
 
-    return map_rows(docs, [id_column, text], make, f"{id_column} bigint,n_tokens bigint,ids_sha256 string,decoded_sha256 string")
+    return map_rows(docs, [id_column, text], make, f"{typed(docs, id_column)},n_tokens bigint,ids_sha256 string,decoded_sha256 string")
 
 
 def tokens(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -275,4 +275,4 @@ def tokens(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path:
 
         return row
 
-    return map_rows(docs, [id_column, text], make, f"{id_column} bigint,n_tokens bigint,ids array<int>,decoded_sha256 string")
+    return map_rows(docs, [id_column, text], make, f"{typed(docs, id_column)},n_tokens bigint,ids array<int>,decoded_sha256 string")

@@ -7,8 +7,10 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,7 +110,8 @@ def map_rows(df: DataFrame, inputs: Iterable[str], make: Callable[[], Callable[.
     (Python objects, null as None) to a tuple in the order of schema.
     """
     inputs = list(inputs)
-    names, out = [p.split()[0] for p in schema.split(",")], arrow_schema(schema)
+    out = arrow_schema(schema)
+    names = out.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
@@ -133,8 +136,43 @@ def slices(batches: Iterable[pa.RecordBatch], most: int = 4 << 20) -> Iterator[p
             yield batch.slice(at, rows)
 
 
-_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<float>": pa.list_(pa.float32())}
+def arrow_schema(schema: str) -> pa.Schema:
+    """Of a schema as Spark writes it, such as ``id bigint,places array<int>``."""
+    return to_arrow_schema(StructType.fromDDL(schema))
 
 
-def arrow_schema(schema: str) -> pa.Schema:
-    return pa.schema([(p.split()[0], _ARROW[p.split()[1]]) for p in schema.split(",")])
+def typed(df: DataFrame, column: str) -> str:
+    """The column with its type, as a schema lists it: ids keep whatever type they have."""
+    return f"`{column}` {df.schema[column].dataType.simpleString()}"
+
+
+def least_hashes(rows: DataFrame, stratum: str, digest: str, quota: int, counts: dict) -> dict:
+    """Of each stratum in counts the quota-th least distinct hash, or the greatest if it has fewer: a bound that chooses a sample.
+
+    counts has the rows of each stratum.  Only hashes under a limit, found from the counts,
+    are ranked; a stratum of many repeated rows gets a higher limit until it has enough or all.
+    The bounds depend on neither the partitions nor the order of the rows.
+    """
+    lowest, highest = -(2**63), 2**63 - 1
+    share, found = {k: min(1.0, 2 * quota / max(n, 1)) for k, n in counts.items()}, {}
+    while share:
+        limits = F.create_map(*(F.lit(x) for k, p in share.items() for x in (k, highest if p >= 1 else min(highest, lowest + max(1, int(p * 2**64))))))
+        few = rows.select(stratum, digest).where(F.col(digest) <= F.try_element_at(limits, F.col(stratum))).distinct()
+        ranked = few.withColumn("_k", F.row_number().over(Window.partitionBy(stratum).orderBy(digest))).where(F.col("_k") <= quota)
+        got = {r[0]: (r["n"], r["most"]) for r in ranked.groupBy(stratum).agg(F.count("*").alias("n"), F.max(digest).alias("most")).collect()}
+        for k, p in list(share.items()):
+            n, most = got.get(k, (0, lowest))
+            if n >= quota or p >= 1:
+                found[k] = most
+                del share[k]
+            else:
+                share[k] = min(1.0, p * 16)
+    return found
+
+
+def chosen(rows: DataFrame, stratum: str, digest: str, bounds: dict) -> DataFrame:
+    """The rows that ``least_hashes`` bounds, each text once: digest must be a hash of all the other columns."""
+    if not bounds:
+        return rows.where("false")
+    limits = F.create_map(*(F.lit(x) for k, v in bounds.items() for x in (k, v)))
+    return rows.where(F.col(digest) <= F.try_element_at(limits, F.col(stratum))).dropDuplicates()

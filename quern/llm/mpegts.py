@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import arrow_schema, map_rows, slices
+from .common import arrow_schema, map_rows, slices, typed
 
 # Fixed values of ISO/IEC 13818-1.
 PACKET, SYNC, PAT_PID, NULL_PID, CLOCK = 188, 0x47, 0, 0x1FFF, 90_000
@@ -221,7 +221,7 @@ def store(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> Dat
         n, payload = padded(value)
         return key, n, write(payload)
 
-    return map_rows(docs, [id_column, text], lambda: row, f"{id_column} bigint,n_bytes bigint,media binary")
+    return map_rows(docs, [id_column, text], lambda: row, f"{typed(docs, id_column)},n_bytes bigint,media binary")
 
 
 def units(media: DataFrame, column: str = "media", id_column: str = "doc_id") -> DataFrame:
@@ -229,7 +229,8 @@ def units(media: DataFrame, column: str = "media", id_column: str = "doc_id") ->
 
     Null and empty streams, and streams without programme tables, give no rows.
     """
-    schema = arrow_schema(f"{id_column} bigint,pid int,stream_type int,unit int,pts bigint,dts bigint,random_access boolean,byte_offset bigint,whole boolean,gaps int,data binary")
+    told = f"{typed(media, id_column)},pid int,stream_type int,unit int,pts bigint,dts bigint,random_access boolean,byte_offset bigint,whole boolean,gaps int,data binary"
+    schema = arrow_schema(told)
 
     def run(batches) -> Iterator:
         import pyarrow as pa
@@ -242,7 +243,7 @@ def units(media: DataFrame, column: str = "media", id_column: str = "doc_id") ->
             columns = zip(*rows, strict=True) if rows else [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
 
-    return media.select(id_column, column).mapInArrow(run, f"{id_column} bigint,pid int,stream_type int,unit int,pts bigint,dts bigint,random_access boolean,byte_offset bigint,whole boolean,gaps int,data binary")
+    return media.select(id_column, column).mapInArrow(run, told)
 
 
 def digests(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -258,4 +259,4 @@ def digests(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
         back = b"".join(u.data for u in got.units)
         return key, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature(got, back)
 
-    return map_rows(docs, [id_column, text], lambda: row, f"{id_column} bigint,n_bytes bigint,payload_bytes bigint,payload_sha256 string,tail_crc32 bigint,media_bytes bigint,media_sha256 string,feature string")
+    return map_rows(docs, [id_column, text], lambda: row, f"{typed(docs, id_column)},n_bytes bigint,payload_bytes bigint,payload_sha256 string,tail_crc32 bigint,media_bytes bigint,media_sha256 string,feature string")
