@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, map_rows, materialise
+from .common import discard, map_rows, materialise, typed
 from .components import connected_components
 
 _LOWER = bytes(range(256)).translate(bytes(c + 32 if 65 <= c <= 90 else c for c in range(256)))
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
         digest = xxhash.xxh64_intdigest((value or "").encode(), SEED)
         return key, fingerprint(value, words), digest - (1 << 64) if digest >> 63 else digest
 
-    return map_rows(docs, [id_column, text], lambda: row, f"{id_column} bigint,fp bigint,text_hash bigint")
+    return map_rows(docs, [id_column, text], lambda: row, f"{typed(docs, id_column)},fp bigint,text_hash bigint")
 
 
 def segments(count: int) -> list[tuple[int, int]]:
@@ -81,10 +81,10 @@ def chain(count: int, start: int, most: int, differ: Column) -> Column:
     return ok
 
 
-def links(reps: DataFrame, most: int = 2, count: int = 7, crowd: int = 128) -> tuple[DataFrame, list[str]]:
-    """Edges (a, b) between the representatives (fp, rep) of different fingerprints at most ``most`` bits apart.
+def links(held: DataFrame, most: int = 2, count: int = 7, crowd: int = 128) -> tuple[DataFrame, list[str]]:
+    """Edges (a, b) between different fingerprints at most ``most`` bits apart, or what links the same groups.
 
-    reps has one row for each fingerprint.  Keys of at most ``crowd`` fingerprints give
+    held has one row for each fingerprint (fp).  Keys of at most ``crowd`` fingerprints give
     their true pairs; the fingerprints of larger keys give edges to the least fingerprint at
     each string one bit away, which links the same groups.  That way is exact for ``most`` = 2
     only; for other values all keys are compared pair by pair.  Also returns the tables written.
@@ -92,11 +92,10 @@ def links(reps: DataFrame, most: int = 2, count: int = 7, crowd: int = 128) -> t
     free = -(-count // most) - 1
     if free < 1:
         raise ValueError("too few segments for so many differing bits")
-    keyed = reps.select(
+    keyed = held.select(
         "fp",
-        "rep",
         F.explode(F.array(*(F.struct(F.lit(i).alias("start"), F.col("fp").bitwiseAND(F.lit(_signed(_mask(count, i, free)))).alias("bits")) for i in range(count)))).alias("key"),
-    ).select("fp", "rep", "key.start", "key.bits")
+    ).select("fp", "key.start", "key.bits")
     shared = keyed.groupBy("start", "bits").agg(F.count("*").alias("members")).where("members > 1")
     sizes, sizes_path = materialise(shared, "sizes")
     met, met_path = materialise(keyed.join(sizes, ["start", "bits"]), "met")
@@ -108,15 +107,15 @@ def links(reps: DataFrame, most: int = 2, count: int = 7, crowd: int = 128) -> t
     for i in range(count):
         kept = kept | ((F.col("a.start") == i) & chain(count, i, most, differ))
     same_key = (F.col("a.start") == F.col("b.start")) & (F.col("a.bits") == F.col("b.bits"))
-    pairs = a.join(b, same_key & (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(differ) <= most) & kept).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
+    pairs = a.join(b, same_key & (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(differ) <= most) & kept).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
     paths = [sizes_path, met_path]
     if most == 2:
-        crowded, crowded_path = materialise(met.where(F.col("members") > crowd).groupBy("fp").agg(F.min("rep").alias("rep")), "crowded")
+        crowded, crowded_path = materialise(met.where(F.col("members") > crowd).select("fp").distinct(), "crowded")
         around = F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(_signed(1 << i))) for i in range(64)))
-        balls = crowded.select("rep", F.explode(around).alias("near"))
-        centres = balls.groupBy("near").agg(F.collect_set("rep").alias("reps")).where(F.size("reps") > 1)
+        balls = crowded.select("fp", F.explode(around).alias("near"))
+        centres = balls.groupBy("near").agg(F.collect_set("fp").alias("held")).where(F.size("held") > 1)
         # at most 65 fingerprints lie within one bit of a string
-        star = centres.select(F.array_min("reps").alias("a"), F.explode("reps").alias("b")).where("a < b")
+        star = centres.select(F.array_min("held").alias("a"), F.explode("held").alias("b")).where("a < b")
         pairs = pairs.unionByName(star.distinct())
         paths.append(crowded_path)
     return pairs, paths
@@ -125,16 +124,18 @@ def links(reps: DataFrame, most: int = 2, count: int = 7, crowd: int = 128) -> t
 def groups(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words: int = 3, most: int = 2, count: int = 7, crowd: int = 128) -> DataFrame:
     """(id, fp, text_hash, component_id) of every row: component_id is the least id that links lead to, its own included.
 
-    Equal fingerprints are one node; so exact copies, however many, cost one row each and no
-    pair.  Null and empty texts have fingerprint zero.  A null id takes part but names no group:
-    a group of null ids only has a null component_id.  Repeated rows stay; other columns are left out.
+    Fingerprints are the nodes; so exact copies, however many, cost one row each and no
+    pair.  Null and empty texts have fingerprint zero.  A null id takes part, also as a bridge
+    between others, but names no group: a group of null ids only has a null component_id.
+    Repeated rows stay; other columns are left out; no documents, no rows.
     """
     spark = docs.sparkSession
     signed, _ = materialise(fingerprints(docs, text, id_column, words), "fingerprints")
     reps, reps_path = materialise(signed.groupBy("fp").agg(F.min(id_column).alias("rep")), "representatives")
-    edges, paths = links(reps.where(F.col("rep").isNotNull()), most, count, crowd)
-    labels = connected_components(edges)
-    of, _ = materialise(reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id")), "groups")
+    edges, paths = links(reps.select("fp"), most, count, crowd)
+    labels = connected_components(edges).withColumnRenamed("node", "fp")
+    least = labels.join(reps, "fp").groupBy("component").agg(F.min("rep").alias("least"))
+    of, _ = materialise(reps.join(labels.join(least, "component"), "fp", "left").select("fp", F.coalesce("least", "rep").alias("component_id")), "groups", reps.count())
     discard(spark, reps_path, *paths)
     return signed.join(of, "fp").select(id_column, "fp", "text_hash", "component_id")
 
