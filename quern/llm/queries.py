@@ -79,7 +79,7 @@ def warc_replicas(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each page: where its record lies, and what the audit says of the replica."""
     primary, replica = warc_replicas(table(spark, sf_dir, "pages"))
-    found, _ = materialise(warc.audit(primary, replica).select("file", "record_offset", "status"), "audit")
+    found = warc.audit(primary, replica).select("file", "record_offset", "status")
     told = primary.join(found, ["file", "record_offset"], "left")
     return told.select("page_id", "file", "record_offset", "record_length", F.col("digest").alias("record_sha256"), F.coalesce("status", F.lit("same")).alias("status"))
 
@@ -104,7 +104,7 @@ ORACLE_SQL: dict[str, str] = {
         ruled AS (SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
             FROM places JOIN rules ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start) GROUP BY host, path),
         formed AS (SELECT page_id, split.host, split.path, rule, verdict,
-                   regexp_replace(regexp_replace(split.host, '^(www|m)\.', ''), ':(80|443)$', '') || regexp_replace(split.path, '(/index)?(\.html?)?/*$', '') || '?'
+                   regexp_replace(regexp_replace(split.host, '^(www|m)\.([^.]+\.[^.])', '\2'), ':(80|443)$', '') || regexp_replace(split.path, '(/index)?(\.html?)?/*$', '') || '?'
                    || array_to_string(list_filter(string_split(query, '&'), lambda q: q <> '' AND NOT regexp_matches(q, '^(utm_\w+|ref|fbclid|gclid)(=|$)')), '&') AS form
             FROM split LEFT JOIN ruled ON split.host = ruled.host AND split.path = ruled.path),
         decided AS (SELECT form, bool_or(verdict = 'block') AS block, bool_or(verdict = 'allow') AS allow FROM formed WHERE verdict IS NOT NULL GROUP BY form)

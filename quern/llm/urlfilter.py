@@ -71,24 +71,41 @@ def with_rules(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
 
 
 def canonical_form(url: Column) -> Column:
-    """The form to which a site's usual redirects lead, without scheme, ``www.`` or ``m.``, default port, final slash, ``.html``, tracking parameters and fragment; null without a host."""
-    name = F.regexp_replace(F.regexp_replace(host(url), r"^(?:www|m)\.", ""), r":(?:80|443)$", "")
+    """The form to which a site's usual redirects lead, without scheme, ``www.`` or ``m.`` before a name of two labels or more, default port, final slash, ``.html``, tracking parameters and fragment; null without a host."""
+    name = F.regexp_replace(F.regexp_replace(host(url), r"^(?:www|m)\.([^.]+\.[^.])", "$1"), r":(?:80|443)$", "")
     place = F.regexp_replace(path(url), r"(?:/index)?(?:\.html?)?/*$", "")
     query = F.regexp_extract(F.regexp_extract(_rest(url), r"^[^#]*", 0), r"\?(.*)$", 1)
     kept = F.array_join(F.filter(F.split(query, "&"), lambda q: ~q.rlike(r"^(?:utm_\w+|ref|fbclid|gclid)(?:=|$)") & (q != "")), "&")
     return F.concat(F.nullif(name, F.lit("")), place, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(F.lit("")))
 
 
+def resolved(url: Column, link: Column) -> Column:
+    """The whole URL that link names on the page at url; null for other schemes than those with ``://``, and on a page without a host."""
+    scheme = F.regexp_extract(url, r"^(.*?)://", 1)
+    site = F.when(host(url) != "", F.concat(scheme, F.lit("://"), host(url)))
+    folder = F.regexp_extract(path(url), r"^.*/", 0)
+    rooted = F.when(link.startswith("/"), link).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), link))
+    place, rest = F.regexp_extract(rooted, r"^[^?#]*", 0), F.regexp_extract(rooted, r"^[^?#]*(.*)$", 1)
+
+    def step(held: Column, part: Column) -> Column:
+        return F.when(part == "..", F.slice(held, F.lit(1), F.greatest(F.size(held) - 1, F.lit(0)))).when(part == ".", held).otherwise(F.array_append(held, part))
+
+    parts = F.split(F.regexp_replace(place, "^/", ""), "/")
+    walked = F.concat(F.lit("/"), F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/"))
+    return (
+        F.when(link.contains("://"), link).when(link.startswith("//"), F.concat(scheme, F.lit(":"), link)).when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+        .when(link.startswith("?"), F.concat(site, path(url), link)).when(link.startswith("#"), url).otherwise(F.concat(site, walked, rest))
+    )
+
+
 def _targets(url: Column, html: Column) -> Column:
     """URLs to which the page's canonical link and its refreshing meta tags point."""
     tags = F.concat(
         F.when(html.rlike("(?i)canonical"), F.regexp_extract_all(html, F.lit(r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"), F.lit(0))).otherwise(F.array().cast("array<string>")),
         F.when(html.rlike("(?i)http-equiv"), F.regexp_extract_all(html, F.lit(r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"), F.lit(0))).otherwise(F.array().cast("array<string>")),
     )
-    found = F.transform(tags, lambda t: F.regexp_extract(t, r"(?i)(?:\bhref\s*=\s*[\"']?|;\s*url\s*=\s*[\"']?)([^\"'\s>]+)", 1))
-    scheme = F.concat(F.regexp_extract(url, r"^(.*?)://", 1), F.lit("://"))
-    whole = F.transform(found, lambda t: F.when(t.contains("://"), t).when(t.startswith("//"), F.concat(F.regexp_replace(scheme, "//$", ""), t)).when(t.startswith("/"), F.concat(scheme, host(url), t)))
-    return F.filter(F.array_distinct(whole), lambda t: t.isNotNull() & (t != ""))
+    found = F.transform(tags, lambda t: F.regexp_replace(F.regexp_extract(t, r"(?i)(?:\bhref\s*=\s*[\"']?|;\s*url\s*=\s*[\"']?)([^\"'\s>]+)", 1), "&(?:amp|#38|#x26);", "&"))
+    return F.filter(F.transform(F.filter(F.array_distinct(found), lambda t: t != ""), lambda t: resolved(url, t)), lambda t: t.isNotNull())
 
 
 def _node(kind: str, text: Column) -> Column:
@@ -102,8 +119,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], redirects: DataFrame |
     Edges run from each URL to its canonical form, from each page to what its canonical link
     and refreshing meta tags name, and along ``redirects`` (source, target), if given.
     Without a rule, a page is blocked if its component has a blocked URL and no allowed one;
-    else allowed.  Null URLs have empty host and path and no aliases.  Repeated rows stay;
-    other columns are left out.
+    else allowed.  Null URLs have empty host and path and no aliases.  Links of a page are
+    resolved against its URL.  Repeated rows stay; other columns are left out; no pages, no rows.
     """
     u = F.col("url")
     rows = pages.select(F.col(id_column).alias("id"), F.col(url).alias("url"), (F.col(html) if html else F.lit(None).cast("string")).alias("html"))
