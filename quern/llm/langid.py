@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, slices
+from .common import chosen, least_hashes, map_rows, slices, typed
 
 #: A word: letters (and marks that stand among them) without digits and signs.
 WORD = re.compile(r"[^\W\d_]+")
@@ -29,15 +29,16 @@ def words_of(text: str | None) -> list[str]:
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of the fitted model.  They bound what is learned, never what is predicted.
+    """What the model is fitted on.  Nothing here bounds what is predicted.
 
-    rows: labelled rows to learn from (chosen by a hash of the text, all if there are
-    fewer).  words, grams: entries kept of each, by number of rows' occurrences.
+    rows: distinct labelled texts to learn from, the same number of each language: those of
+    the least hashes, all if there are fewer.  languages: the most frequent ones that are
+    learned.  least: how often a word or n-gram must occur in those texts to be known.
     """
 
     rows: int = 20_000
-    words: int = 60_000
-    grams: int = 60_000
+    languages: int = 200
+    least: int = 2
     longest: int = 4
     smoothing: float = 0.5
     seed: int = 11
@@ -144,32 +145,33 @@ def _frequencies(rows: list, langs: list[str], smoothing: float) -> tuple[dict[s
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", settings: Settings = Settings()) -> Model:
     """Learn from labelled rows; null texts and null languages are left out.
 
-    The rows are a bounded sample (``Settings.rows``) if there are more: those whose text
-    hashes below a threshold, so that equal texts are chosen alike.  Words and n-grams are
-    counted by Spark; only the ``Settings.words`` and ``Settings.grams`` most frequent
-    reach the driver.
+    The texts are a bounded sample (``Settings.rows``) if there are more, with an equal share
+    for each language, so that small languages are learned beside large ones; repeated
+    texts count once.  Words and n-grams are counted by Spark, and all that occur often
+    enough reach the driver: their number follows the sample, not the corpus.
     """
-    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    there = labelled.where(F.col(lang).isNotNull()).select(lang).count()
-    if there > settings.rows:
-        rows = rows.where(F.pmod(F.xxhash64("text", F.lit(settings.seed)), F.lit(1_000_000)) < int(1_000_000 * settings.rows / there))
-    words = rows.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_NATIVE_WORD), F.lit(0))).alias("item")).groupBy("lang", "item").agg(F.count("*").alias("n")).persist()
+    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(text, F.lit(settings.seed)).alias("h"))
+    spoken = labelled.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(settings.languages)
+    counts = {r["lang"]: r["n"] for r in spoken.collect()}
+    bounds = least_hashes(rows, "lang", "h", max(1, settings.rows // len(counts)), counts) if counts else {}
+    words = chosen(rows, "lang", "h", bounds).select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_NATIVE_WORD), F.lit(0))).alias("item")).groupBy("lang", "item").agg(F.count("*").alias("n")).persist()
     try:
 
-        def top(counted: DataFrame, most: int) -> list:
-            keep = counted.groupBy("item").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "item").limit(most).select("item")
-            return [(r["item"], r["lang"], r["n"]) for r in counted.join(keep, "item", "left_semi").collect()]
+        def often(counted: DataFrame) -> list:
+            keep = counted.groupBy("item").agg(F.sum("n").alias("all")).where(F.col("all") >= settings.least).select("item")
+            got = counted.join(keep, "item", "left_semi").select("item", "lang", "n").toArrow().to_pydict()
+            return sorted(zip(got["item"], got["lang"], got["n"], strict=True))
 
         marked = F.concat(F.lit("<"), F.col("item"), F.lit(">"))
         sizes = F.array(*map(F.lit, range(1, settings.longest + 1)))
         spread = F.flatten(F.transform(sizes, lambda k: F.when(F.length(marked) >= k, F.transform(F.sequence(F.lit(1), F.length(marked) - k + 1), lambda i: F.substring(marked, i, k))).otherwise(F.array().cast("array<string>"))))
         grams = words.select("lang", "n", F.explode(spread).alias("item")).groupBy("lang", "item").agg(F.sum("n").alias("n"))
-        word_rows, gram_rows = top(words, settings.words), top(grams, settings.grams)
+        word_rows, gram_rows = often(words), often(grams)
     finally:
         words.unpersist()
-    langs = sorted({r[1] for r in word_rows})
-    known, word_scores = _frequencies(sorted(word_rows), langs, settings.smoothing)
-    grams, gram_scores = _frequencies(sorted(gram_rows), langs, settings.smoothing)
+    langs = sorted({r[1] for r in gram_rows} | {r[1] for r in word_rows})
+    known, word_scores = _frequencies(word_rows, langs, settings.smoothing)
+    grams, gram_scores = _frequencies(gram_rows, langs, settings.smoothing)
     return Model(langs, known, word_scores[:-1], grams, gram_scores, settings.longest)
 
 
@@ -185,7 +187,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", id_column: str =
         predictor = Predictor(shared.value)
         return lambda key, value: (key, *predictor.predict(value))
 
-    return map_rows(docs, [id_column, text], make, f"{id_column} bigint,lang_pred string,score double")
+    return map_rows(docs, [id_column, text], make, f"{typed(docs, id_column)},lang_pred string,score double")
 
 
 def keep(docs: DataFrame, model: Model, least: float, text: str = "text", fit: float = 0.0) -> DataFrame:

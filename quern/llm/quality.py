@@ -17,12 +17,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import chosen, least_hashes, map_rows, typed
 
 
 @dataclass(frozen=True)
 class Settings:
-    """rows: texts that the scorer is trained on (chosen by a hash of the text, all if there are fewer).
+    """rows: distinct texts that the scorer is trained on: those of the least hashes, all if there are fewer.
 
     bits: of the hashed feature space.  rounds: of expectation-maximisation.  steps: of
     training.  prior: share of good texts that the estimate starts from.
@@ -36,21 +36,25 @@ class Settings:
     seed: int = 5
 
 
-_COMMON = re.compile(r"""[\w\s.,;:'"()?!-]""")
-_SIGNS = re.compile(r"""[^\w\s.,;:'"()?!-]""")
-_UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
-_LETTER = re.compile(r"[^\W\d_]")
+_SIGNS = re.compile(r"""[^\w\s.,;:'"()?!-]+""")
+_UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def _chars_of(pattern: re.Pattern, text: str) -> int:
+    """Characters of text in matches of a run of them."""
+    return len("".join(pattern.findall(text)))
 
 
 def votes(text: str | None) -> tuple[int, ...]:
     """Of each labeller 1 (good), -1 (bad) or 0 (abstains).  Texts without a letter, and null, are bad to the first alone."""
     words = (text or "").split()
-    n, letters = len(words), len(_LETTER.findall(text or ""))
+    n, letters = len(words), _chars_of(_LETTERS, text or "")
     if not letters:
         return (-1, 0, 0, 0, 0, 0, 0, 0, 0, 0)
     chars = len(text)
     counts = Counter(words)
-    signs, upper, distinct, top = len(_SIGNS.findall(text)) / chars, len(_UPPER.findall(text)) / max(letters, 1), len(counts) / n, counts.most_common(1)[0][1] / n
+    signs, upper, distinct, top = _chars_of(_SIGNS, text) / chars, _chars_of(_UPPER, text) / letters, len(counts) / n, counts.most_common(1)[0][1] / n
     ends = sum(w[-1] in ".!?" for w in words) / n
     attached = sum(len(w) > 2 and not (w[-1].isalnum() or w[-2].isalnum()) for w in words) / n
     echoes = sum(map(str.__eq__, words, words[1:])) / n
@@ -108,7 +112,7 @@ def token_features(word: str, bits: int) -> tuple[int, int]:
     """Hashed places of a word and of its shape."""
     shape = _LOWER.sub("a", _CAPITAL.sub(lambda m: "A" if len(m[0]) == 1 else "AA", _DIGITS.sub("9", word)))
     size = 1 << bits
-    return zlib.crc32(word.lower().encode()) % size, zlib.crc32(b"\x00" + shape[:12].encode()) % size
+    return zlib.crc32(word.lower().encode()) % size, zlib.crc32(b"\x00" + shape.encode()) % size
 
 
 def document_features(counts: Counter, words: list[str], text: str, bits: int) -> list[int]:
@@ -185,10 +189,9 @@ def fit(docs: DataFrame, text: str = "text", settings: Settings = Settings()) ->
     voted = map_rows(docs, [text], lambda: row, "votes string")
     counted = [(tuple(map(int, r["votes"].split(","))), r["n"]) for r in voted.groupBy("votes").agg(F.count("*").alias("n")).collect()]
     good = estimate(sorted(counted), settings)
+    rows = docs.select(F.lit(0).alias("all"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.lit(settings.seed)).alias("h"))
     there = sum(n for _, n in counted)
-    rows = docs.select(F.col(text).alias("text"))
-    if there > settings.rows:
-        rows = rows.where(F.pmod(F.xxhash64("text", F.lit(settings.seed)), F.lit(1_000_000)) < int(1_000_000 * settings.rows / there))
+    rows = chosen(rows, "all", "h", least_hashes(rows, "all", "h", settings.rows, {0: there}) if there else {})
 
     def sample(value):
         found = features(value, settings.bits)
@@ -201,8 +204,8 @@ def fit(docs: DataFrame, text: str = "text", settings: Settings = Settings()) ->
 def classify(docs: DataFrame, text: str = "text", id_column: str = "doc_id", settings: Settings = Settings(), least: float = 0.5) -> DataFrame:
     """(id, score, quality) of every row by its whole text: quality is 1 if the score is at least ``least``.
 
-    The sample that trains the scorer is bounded by ``Settings.rows``; votes are taken and
-    counted over all rows.  Null counts as empty, which is of low quality unless the corpus
+    The sample that trains the scorer is bounded by ``Settings.rows`` and holds each text
+    once; votes are taken and counted over all rows.  Null counts as empty, which is of low quality unless the corpus
     says otherwise.  Equal texts score alike; repeated rows stay; other columns are left out.
     """
     scorer = fit(docs, text, settings)
@@ -217,4 +220,4 @@ def classify(docs: DataFrame, text: str = "text", id_column: str = "doc_id", set
 
         return row
 
-    return map_rows(docs, [id_column, text], make, f"{id_column} bigint,score double,quality int")
+    return map_rows(docs, [id_column, text], make, f"{typed(docs, id_column)},score double,quality int")
