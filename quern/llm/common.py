@@ -37,14 +37,22 @@ def _filesystem(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
-def materialise(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+#: Rows of a few numbers that one task writes.
+ROWS_A_FILE = 250_000
+
+
+def materialise(df: DataFrame, name: str, rows: int | None = None) -> tuple[DataFrame, str]:
     """Write df as a table in the shared folder and read it again; this cuts the lineage.
 
     Another executor can read every file of it, so a lost executor costs no more than
     its running tasks.  The table goes when the application ends, or with ``discard``.
+    rows, where it is known, bounds those of df: narrow rows that fit few files are not
+    spread over as many as there are shuffle partitions.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quern-{uuid.uuid4().hex[:12]}-{name}"
+    if rows is not None:
+        df = df.coalesce(min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + rows // ROWS_A_FILE))
     df.write.parquet(path)
     fs, where = _filesystem(spark, path)
     fs.deleteOnExit(where)

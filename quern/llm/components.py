@@ -20,16 +20,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     held = edges.where("a is not null and b is not null and a <> b")
     pairs, pairs_path = materialise(held.unionByName(held.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels, path = materialise(pairs.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("node"), F.least("a", "least").alias("component")), "labels")
+    rows = pairs.count()  # no fewer than there are nodes
+    labels, path = materialise(pairs.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("node"), F.least("a", "least").alias("component")), "labels", rows)
     while True:
         jumped, jumped_path = materialise(
             labels.alias("x").join(labels.alias("y"), F.col("x.component") == F.col("y.node")).select("x.node", F.col("y.component").alias("component")),
             "jumped",
+            rows,
         )
         around = pairs.join(jumped.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("component").alias("least"))
         after, after_path = materialise(
             jumped.join(around.withColumnRenamed("a", "node"), "node").select("node", F.least("component", "least").alias("component"), (F.col("least") < F.col("component")).alias("moved")),
             "labels",
+            rows,
         )
         moved = after.where("moved").limit(1).count()
         discard(spark, path, jumped_path)

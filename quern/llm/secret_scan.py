@@ -16,7 +16,7 @@ from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
-from .common import map_rows, slices
+from .common import map_rows, slices, typed
 
 #: The fixed forms by kind, in their order: pattern, and least length of the group that counts.
 KINDS = {
@@ -130,7 +130,7 @@ def scan(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path: s
 
         return row
 
-    return map_rows(docs, [id_column, text], make, f"{id_column} bigint,n_assign bigint,n_access bigint,n_hex bigint,base_sha256 string,spans string")
+    return map_rows(docs, [id_column, text], make, f"{typed(docs, id_column)},n_assign bigint,n_access bigint,n_hex bigint,base_sha256 string,spans string")
 
 
 def redacted(text: str, found: list[tuple[int, int, str]], by: str = "[SECRET]") -> str:
