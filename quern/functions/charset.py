@@ -13,7 +13,7 @@ ARMENIAN_MARKS = "՝՛՞՜։֊«»"
 DIGITS = "0123456789"
 LATIN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 COMMON_MARKS = ".,:;!?'\"()-–—/%&+=*"
-LATER_MARKS = "․°" + "…[]№²" + "<>³±"
+LATER_MARKS = "․°…[]№²<>³±"
 APOSTROPHE = "՚"
 CYRILLIC_UPPER = "".join(map(chr, range(0x0410, 0x0430))) + "Ё"
 CYRILLIC_LOWER = "".join(map(chr, range(0x0430, 0x0450))) + "ё"

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from .arrays import let
 from .charset import LETTERS
 
 A = LETTERS["armenian"]
@@ -35,9 +40,32 @@ def _replaced(text: Column, rules) -> Column:
     return text
 
 
-def strip_templates(text: Column, depth: int = 8) -> Column:
-    """Innermost templates taken out until none is left, to a nesting of depth."""
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), text, lambda t, _: F.regexp_replace(t, TEMPLATE, ""))
+def strip_templates(text: Column) -> Column:
+    """Innermost templates taken out until none is left, however deep they are nested.
+
+    As many passes are made as braces are nested.  Braces that only meet when a template
+    between them goes can need more; such a text gets a pass for each closing pair it has.
+    """
+
+    def step(t: Column, _: Column) -> Column:
+        return F.when(t.contains("}}"), F.regexp_replace(t, TEMPLATE, "")).otherwise(t)
+
+    def passes(count: Column) -> Column:
+        return F.slice(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), F.lit(1), count)
+
+    level = F.aggregate(
+        F.regexp_extract_all(text, F.lit(r"\{\{|\}\}"), F.lit(0)),
+        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda acc, x: let(F.when(x == "{{", acc["now"] + 1).otherwise(F.greatest(acc["now"] - 1, F.lit(0))), lambda now: F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))),
+        lambda acc: acc["most"],
+    )
+    stripped = F.when(text.rlike(TEMPLATE), F.aggregate(passes(level), text, step)).otherwise(text)
+
+    def rest(t: Column) -> Column:
+        pairs = F.floor(F.length(F.regexp_replace(t, r"[^}]", "")) / 2).cast("int")
+        return F.when(t.rlike(TEMPLATE), F.aggregate(passes(pairs), t, step)).otherwise(t)
+
+    return let(stripped, rest)
 
 
 def strip_tables(text: Column) -> Column:
@@ -71,19 +99,14 @@ def normalise_transcript(text: Column, printed_brackets: Column | None = None) -
     return fold_tokens(folded if printed_brackets is None else F.when(printed_brackets, text).otherwise(folded))
 
 
-def clean_markup(text: Column, printed_brackets: Column | None = None, depth: int = 8) -> Column:
+def clean_markup(text: Column, printed_brackets: Column | None = None) -> Column:
     """Running text of wiki markup: markup out, transcript normalised, spaces and blank lines tidied."""
-    text = _replaced(strip_templates(_replaced(text, MARKUP), depth), AFTER_TEMPLATES)
+    text = _replaced(strip_templates(_replaced(text, MARKUP)), AFTER_TEMPLATES)
     text = normalise_transcript(text, printed_brackets)
     lines = F.transform(F.split(text, r"\r\n|[\n\r\x0B\f\x1c-\x1e\x85\u2028\u2029]"), lambda x: F.regexp_replace(F.regexp_replace(x, r"[ \t]+", " "), r"(?U)^\s+|\s+$", ""))
     return F.regexp_replace(F.regexp_replace(F.array_join(lines, "\n"), r"\n{3,}", "\n\n"), r"(?U)^\s+|\s+$", "")
 
 
-def is_clean(text: Column) -> Column:
-    """Whether no template is left, as after cleaning with enough depth."""
-    return ~text.rlike(TEMPLATE)
-
-
 def tokens(text: Column) -> Column:
     """The runs of text between white space of any kind."""
     return F.filter(F.split(text, r"(?U)\s+"), lambda x: x != "")
@@ -177,6 +200,21 @@ def code_point_name(char: Column) -> Column:
     return F.format_string("U+%04X", F.ascii(char))
 
 
+@F.pandas_udf(StringType())
+def unicode_name(char: pd.Series) -> pd.Series:
+    """The character's name in the Unicode tables, which the JVM's functions do not reach; ``?`` if it has none, null for null."""
+    return char.map(lambda c: None if c is None else unicodedata.name(c, "?"))
+
+
+def joined_lines(lines: Column) -> Column:
+    """An array of lines as one text; nulls are left out."""
+    return F.array_join(lines, "\n")
+
+
 def index_line(key: Column, picks: int = 4) -> Column:
-    """An invented index line of page numbers, drawn from a hash of key."""
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.lit(picks)), lambda i: (F.pmod(F.xxhash64(key, i), F.lit(499)) + 1).cast("string")), ", ")
+    """An invented index line of page numbers, drawn from a hash of key; a number that begins with 2 doubles that digit."""
+
+    def page(i: Column) -> Column:
+        return (F.conv(F.substring(F.md5(F.concat(key, F.lit("|"), i.cast("string"))), 1, 6), 16, 10).cast("int") % 499) + 1
+
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.lit(picks)), lambda i: F.regexp_replace(page(i).cast("string"), "^2", "22")), ", ")

@@ -11,7 +11,7 @@ from quern.functions.sequences import confusions
 def confusion_counts(pairs: DataFrame, truth: str = "truth", predicted: str = "predicted") -> DataFrame:
     """(truth, predicted, n).  Equal pairs are left out before Python sees them, and equal misreadings are compared once."""
     wrong = pairs.where(F.col(truth) != F.col(predicted)).groupBy(truth, predicted).agg(F.count("*").alias("_n"))
-    each = wrong.select("_n", F.explode(confusions(F.col(truth), F.col(predicted))).alias("c"))
+    each = wrong.select("_n", confusions(F.col(truth), F.col(predicted)).alias("all")).select("_n", F.explode("all").alias("c"))
     return each.groupBy(F.col("c.truth").alias("truth"), F.col("c.predicted").alias("predicted")).agg(F.sum("_n").alias("n"))
 
 

@@ -45,23 +45,30 @@ def corrected(words: DataFrame, lexicon: DataFrame, taus: DataFrame, letter: str
     A word is kept if its key is short, has no letter, or is listed.  Else its first
     candidate that is listed and has the same edges decides: it is chosen if the greedy
     reading is no more than tau more probable, and if not, the word is kept.
-    The lexicon is joined by word, whatever its size; a side is broadcast only by Spark's own measure.
+    The greedy reading and the candidates meet the lexicon in one join by word, whatever its
+    size; a side is broadcast only by Spark's own measure.
     """
     g = F.col("greedy")
-    numbered = words.select(*key, "greedy", "cands")
-    cand = numbered.select(*key, "greedy", F.posexplode("cands").alias("at", "c")).select(*key, "at", "greedy", F.col("c.text").alias("text"), F.col("c.logp").alias("logp"))
-    listed = lexicon.select("word", F.lit(True).alias("listed"))
-    found = cand.withColumn("word", lexicon_key(F.col("text"))).join(listed, "word", "left_semi")
-    (gb, ga), (tb, ta) = edges(g), edges(F.col("text"))
-    first = found.where((gb == tb) & (ga == ta)).groupBy(*key).agg(F.min_by(F.struct("text", "logp"), "at").alias("first"))
-    plain = numbered.withColumn("word", lexicon_key(g)).join(listed, "word", "left").join(first, key, "left")
     own = F.coalesce(F.get(F.filter("cands", lambda c: c["text"] == g), 0)["logp"], F.get("cands", 0)["logp"])
-    kept = (F.length("word") < 2) | ~F.col("word").rlike(f"[{letter}]") | F.coalesce("listed", F.lit(False)) | F.col("first").isNull()
-    swept = plain.crossJoin(F.broadcast(taus))  # taus: a short list of thresholds
-    return swept.select(*key, "tau", "greedy", F.when(kept | (own - F.col("first.logp") > F.col("tau")), g).otherwise(F.col("first.text")).alias("chosen"))
+    read = F.array(F.struct(g.alias("text"), F.lit(None).cast("double").alias("logp")))
+    every = words.select(*key, "greedy", own.alias("own"), F.posexplode(F.concat(read, "cands")).alias("at", "c")).select(*key, "greedy", "own", "at", "c.text", "c.logp")
+    met = every.withColumn("word", lexicon_key(F.col("text"))).join(lexicon.select("word", F.lit(True).alias("listed")), "word", "left")
+    (gb, ga), (tb, ta) = edges(g), edges(F.col("text"))
+    fits = F.coalesce("listed", F.lit(False)) & (F.col("at") > 0) & (gb == tb) & (ga == ta)
+    first = F.min_by(F.when(fits, F.struct("text", "logp")), F.when(fits, F.col("at")))
+    told = met.groupBy(*key).agg(F.max("greedy").alias("greedy"), F.max("own").alias("own"), F.bool_or(F.col("listed") & (F.col("at") == 0)).alias("listed"), first.alias("first"))
+    word = lexicon_key(g)
+    kept = (F.length(word) < 2) | ~word.rlike(f"[{letter}]") | F.coalesce("listed", F.lit(False)) | F.col("first").isNull()
+    swept = told.crossJoin(F.broadcast(taus))  # taus: a short list of thresholds
+    return swept.select(*key, "tau", "greedy", F.when(kept | (F.col("own") - F.col("first.logp") > F.col("tau")), g).otherwise(F.col("first.text")).alias("chosen"))
 
 
-def outcome(rows: DataFrame, truth: Column, by: list[str]) -> DataFrame:
-    """(by..., ok, fixed, broke, corrections) of rows with greedy and chosen."""
+def outcome(rows: DataFrame, truth: Column, by: list[str], n: Column | None = None) -> DataFrame:
+    """(by..., ok, fixed, broke, corrections) of rows with greedy and chosen; n tells for how many words a row stands."""
     was, now = F.col("greedy") == truth, F.col("chosen") == truth
-    return rows.groupBy(*by).agg(F.count_if(now).alias("ok"), F.count_if(now & ~was).alias("fixed"), F.count_if(was & ~now).alias("broke"), F.count_if(F.col("greedy") != F.col("chosen")).alias("corrections"))
+    each = F.lit(1) if n is None else n
+
+    def count(what: Column) -> Column:
+        return F.coalesce(F.sum(F.when(what, each)), F.lit(0)).cast("bigint")
+
+    return rows.groupBy(*by).agg(count(now).alias("ok"), count(now & ~was).alias("fixed"), count(was & ~now).alias("broke"), count(F.col("greedy") != F.col("chosen")).alias("corrections"))

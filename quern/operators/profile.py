@@ -21,7 +21,7 @@ def raw_and_residual(docs: DataFrame, allowed: str, normalise, text: str = "text
     return chars.groupBy("side", "ch").agg(F.count("*").alias("n")).groupBy("side").agg(F.sum("n").alias("total"), F.count("*").alias("distinct_chars"))
 
 
-#: Orthography markers: patterns counted for each text.
+# Orthography markers, patterns counted for each text.
 ORTHOGRAPHY = {"letters": "[Ա-Ֆա-և]", "free_yiwn": "(?<![ոՈ])ւ", "final_y": "[աոեէիօ]յ(?![Ա-Ֆա-և])", "inner_e": "(?<=[ա-և])է", "two_letter_ew": "[եԵ]ւ", "ligature_ew": "և"}
 
 

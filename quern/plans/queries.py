@@ -5,9 +5,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import charset, text
@@ -17,20 +15,7 @@ from quern.sources import files, labels, manifest
 from quern.streaming.manifest import windowed_counts
 
 from .derived import BOXES, PREDICTIONS, TOKENS, boxes, predictions, table, tokens_of
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
+from .registry import ORACLE_SQL, QUERIES, query  # noqa: F401
 
 # Contamination and held-out pages
 
@@ -146,10 +131,10 @@ def stray_chars_top(spark, sf):
     return found.select("ch", text.code_point_name(F.col("ch")).alias("name"), "n")
 
 
-@query("SELECT idx, ch FROM (SELECT unnest(range(1, 13)) AS idx, unnest(string_split('ԱԲԳԴԵԶԷԸԹԺԻԼ', '')) AS ch)")
+@query(f"""SELECT unnest(range(1, 1 + length(c))) AS idx, unnest(string_split(c, '')) AS ch FROM (SELECT '{charset.charset().replace("'", "''")}' AS c)""")
 def charset_dimension(spark, sf):
     chars = spark.range(1).select(F.posexplode(charset.characters(F.lit(charset.charset()))).alias("pos", "ch"))
-    return chars.select((F.col("pos") + 1).cast("bigint").alias("idx"), "ch").where("idx <= 12")
+    return chars.select((F.col("pos") + 1).cast("bigint").alias("idx"), "ch")
 
 
 _LETTER = "a-zà-öø-ÿ"
@@ -443,7 +428,23 @@ def gutter_choice(spark, sf):
     return align.gutters(_boxes(spark, sf), ["page"])
 
 
-@query()
+def _columns_sql(depth: int = 3) -> str:
+    """Each level's gutters by counts over all boxes of a region, and the boxes left and right of them."""
+    parts = [f"{BOXES}, r0 AS (SELECT page, place, l, t, r, b, '' AS region FROM boxes)"]
+    for k in range(depth):
+        parts.append(f"""px{k} AS (SELECT page, region, COALESCE(median(CASE WHEN b > t THEN b - t END), 0) * 0.25 AS px, count(*) AS n, min(l) AS lo, max(r) AS hi FROM r{k} GROUP BY page, region),
+    ext{k} AS (SELECT page, region, place, l, t, r, b, n, lo, hi, CASE WHEN l + px >= r - px THEN (l + r) / 2 ELSE l + px END AS x0, CASE WHEN l + px >= r - px THEN (l + r) / 2 ELSE r - px END AS x1 FROM r{k} JOIN px{k} USING (page, region)),
+    edges{k} AS (SELECT DISTINCT page, region, x FROM (SELECT page, region, n, lo, hi, unnest([x0, x1, lo + 0.15 * (hi - lo), lo + 0.85 * (hi - lo)]) AS x FROM ext{k}) WHERE n >= 4 AND hi > lo AND x >= lo + 0.15 * (hi - lo) AND x <= lo + 0.85 * (hi - lo)),
+    mids{k} AS (SELECT page, region, (x + lead(x) OVER w) / 2 AS x, lead(x) OVER w - x AS gap FROM edges{k} WINDOW w AS (PARTITION BY page, region ORDER BY x)),
+    cand{k} AS (SELECT m.page, m.region, m.x, m.gap, count(*) FILTER (WHERE e.x0 < m.x AND m.x < e.x1) AS crossings, count(*) FILTER (WHERE e.x1 <= m.x) AS nl, count(*) FILTER (WHERE e.x0 >= m.x) AS nr,
+        max(e.x1) FILTER (WHERE e.x1 <= m.x) - min(e.x0) FILTER (WHERE e.x1 <= m.x) AS wl, max(e.x1) FILTER (WHERE e.x0 >= m.x) - min(e.x0) FILTER (WHERE e.x0 >= m.x) AS wr, max(n) AS n, max(hi) - min(lo) AS width
+        FROM mids{k} m JOIN ext{k} e ON m.page = e.page AND m.region = e.region WHERE m.x IS NOT NULL GROUP BY m.page, m.region, m.x, m.gap),
+    cut{k} AS (SELECT page, region, arg_min(x, (crossings, -gap, x)) AS gutter FROM cand{k} WHERE crossings <= greatest(3.0, 0.05 * n) AND nl >= 0.15 * n AND nr >= 0.15 * n AND (least(wl, wr) >= 0.2 * width OR least(wl, wr) >= 0.5 * greatest(wl, wr)) GROUP BY page, region),
+    r{k + 1} AS (SELECT page, place, l, t, r, b, region || side AS region FROM (SELECT ext{k}.*, CASE WHEN gutter IS NULL THEN '' WHEN x1 <= gutter THEN '0' WHEN x0 >= gutter THEN '1' END AS side FROM ext{k} LEFT JOIN cut{k} USING (page, region)) WHERE side IS NOT NULL)""")
+    return f"WITH {', '.join(parts)} SELECT page, region, count(*) AS boxes FROM r{depth} GROUP BY page, region"
+
+
+@query(_columns_sql())
 def columns3(spark, sf):
     return align.columns(_boxes(spark, sf), ["page"]).groupBy("page", "region").agg(F.count("*").alias("boxes"))
 
@@ -454,8 +455,10 @@ def _doubled(b: DataFrame) -> DataFrame:
 
 
 @query(f"""WITH {BOXES}, two AS (SELECT * FROM boxes UNION ALL SELECT page, place + 1000, text, l + 2, t, r + 2, b FROM boxes WHERE place % 7 = 2),
-    p AS (SELECT a.page, a.place AS first, c.place AS second, greatest(0, least(a.r, c.r) - greatest(a.l, c.l)) * greatest(0, least(a.b, c.b) - greatest(a.t, c.t)) / least((a.r - a.l) * (a.b - a.t), (c.r - c.l) * (c.b - c.t)) AS share
-        FROM two a JOIN two c ON a.page = c.page AND a.text = c.text AND a.place < c.place) SELECT page, first, second FROM p WHERE share > 0.6""")
+    banded AS (SELECT *, unnest(range(CAST(floor(t / 40) AS BIGINT), CAST(floor(b / 40) AS BIGINT) + 1)) AS y FROM two),
+    celled AS (SELECT *, unnest(range(CAST(floor(l / 120) AS BIGINT), CAST(floor(r / 120) AS BIGINT) + 1)) AS x FROM banded),
+    p AS (SELECT DISTINCT a.page, a.place AS first, c.place AS second, greatest(0, least(a.r, c.r) - greatest(a.l, c.l)) * greatest(0, least(a.b, c.b) - greatest(a.t, c.t)) / least((a.r - a.l) * (a.b - a.t), (c.r - c.l) * (c.b - c.t)) AS share
+        FROM celled a JOIN celled c ON a.page = c.page AND a.text = c.text AND a.x = c.x AND a.y = c.y WHERE a.place < c.place) SELECT page, first, second FROM p WHERE share > 0.6""")
 def box_overlap_dupes(spark, sf):
     return align.duplicate_pairs(_doubled(_boxes(spark, sf)), "page")
 
@@ -468,7 +471,9 @@ def box_dedupe(spark, sf):
 def _crops(spark, sf) -> DataFrame:
     read = predictions(tokens_of(table(spark, sf, "documents")))
     laid = boxes(read.withColumn("tok", F.coalesce("read", "tok")))
-    truth = boxes(read).groupBy("page").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda x: x["text"]).alias("tokens"))
+    held = table(spark, sf, "documents").select("doc_id", text.tokens(F.col("text")).alias("t")).where("size(t) > 0")
+    pages = held.select("doc_id", "t", F.explode(F.sequence(F.lit(0), F.floor((F.size("t") - 1) / 480).cast("int"))).alias("at"))
+    truth = pages.select((F.col("doc_id") * 1000 + F.col("at")).alias("page"), F.slice("t", F.col("at") * 480 + 1, F.lit(480)).alias("tokens"))
     return align.align_pages(laid.select("page", F.col("place").cast("int").alias("place"), "text"), truth)
 
 
@@ -477,9 +482,11 @@ def align_labels(spark, sf):
     return _crops(spark, sf)
 
 
-@query()
+@query(f"""WITH {PREDICTIONS}, tiered AS (SELECT CASE WHEN read = tok THEN 'exact' ELSE 'near' END AS tier FROM pred WHERE read IS NOT NULL)
+    SELECT t.tier, count(tiered.tier) AS n FROM (VALUES ('exact'), ('near'), ('bracketed')) t(tier) LEFT JOIN tiered ON t.tier = tiered.tier GROUP BY t.tier""")
 def tier_counts_zero_filled(spark, sf):
-    return align.tier_counts(_crops(spark, sf))
+    read = predictions(tokens_of(table(spark, sf, "documents"))).where("read is not null")
+    return align.tier_counts(read.select(F.when(F.col("read") == F.col("tok"), "exact").otherwise("near").alias("tier")))
 
 
 _HIGH = f"""{BOXES}, tall AS (SELECT page, place, text AS label, l, CASE WHEN place % 13 = 5 THEN t - 40 ELSE t END AS t, r, b FROM boxes),
@@ -521,19 +528,15 @@ _RECALL = rf"""{PREDICTIONS}, joined AS (SELECT doc_id, string_agg(tok, ' ' ORDE
 
 
 def _readings(spark, sf) -> DataFrame:
-    read = predictions(tokens_of(table(spark, sf, "documents")))
-    cells = F.array_sort(F.collect_list(F.struct("pos", "tok", "read")))
-    held = read.groupBy("doc_id").agg(cells.alias("c"))
-    return held.select("doc_id", F.array_join(F.transform("c", lambda x: x["tok"]), " ").alias("truth"), F.array_join(F.transform("c", lambda x: x["read"]), " ").alias("read"))
+    """Each text and its misreading, made in the row."""
+    held = table(spark, sf, "documents").select("doc_id", text.tokens(F.col("text")).alias("t")).where("size(t) > 0")
+    read = F.transform("t", lambda tok, pos: F.when(pos % 17 == 16, F.lit(None)).when(pos % 5 == 3, F.translate(tok, "aeo", "123")).otherwise(tok))
+    return held.select("doc_id", F.array_join("t", " ").alias("truth"), F.array_join(read, " ").alias("read"))
 
 
 def _recall(spark, sf) -> DataFrame:
-    """The recall of long texts by joins: an array search for every word would be quadratic."""
-    held = _readings(spark, sf)
-    want = held.select("doc_id", F.explode(F.filter(text.tokens(text.fold_metric(F.col("truth"))), text.is_word)).alias("w")).groupBy("doc_id", "w").agg(F.count("*").alias("n"))
-    have = held.select("doc_id", F.explode(F.array_distinct(text.tokens(text.fold_metric(F.col("read"))))).alias("w")).withColumn("hit", F.lit(1))
-    scored = want.join(have, ["doc_id", "w"], "left").groupBy("doc_id").agg(F.round(F.sum(F.col("n") * F.coalesce("hit", F.lit(0))) / F.sum("n"), 6).alias("word_recall"))
-    return held.select("doc_id").join(scored, "doc_id", "left").select("doc_id", F.coalesce("word_recall", F.lit(1.0)).alias("word_recall"))
+    """The recall of long texts by counts: an array search for every word would be quadratic."""
+    return metrics.recall_of_texts(_readings(spark, sf), "doc_id", "read", "truth")
 
 
 @query(f"WITH {_RECALL} SELECT doc_id, word_recall FROM recall")
@@ -623,14 +626,15 @@ _TAU = rf"""{TOKENS}, g AS (SELECT doc_id, pos, tok AS truth, CASE WHEN pos % 5
         FROM d, (VALUES (CAST(0.5 AS DOUBLE)), (1.0), (2.0)) t(tau))"""
 
 
-def _sweep(spark, sf) -> DataFrame:
-    toks = tokens_of(table(spark, sf, "documents"))
+def _sweep(toks: DataFrame, by: list[str]) -> DataFrame:
+    """The thresholds tried on the tokens' distinct readings, each with its number: what is equal meets the lexicon once."""
     greedy = F.when(F.col("pos") % 5 == 3, F.translate("tok", "a", "e")).otherwise(F.col("tok"))
-    cands = F.array(F.struct(F.col("greedy").alias("text"), F.lit(-0.1).cast("double").alias("logp")), F.struct(F.col("tok").alias("text"), (F.lit(-0.1) - 0.25 * (F.col("pos") % 8)).cast("double").alias("logp")))
-    words = toks.withColumn("greedy", greedy).select("doc_id", "pos", F.col("tok").alias("truth"), "greedy", cands.alias("cands"))
+    counted = toks.select(*by, F.col("tok").alias("truth"), greedy.alias("read"), (F.col("pos") % 8).alias("gap")).groupBy(*by, "truth", "read", "gap").agg(F.count("*").alias("n"))
+    cands = F.array(F.struct(F.col("read").alias("text"), F.lit(-0.1).cast("double").alias("logp")), F.struct(F.col("truth").alias("text"), (F.lit(-0.1) - 0.25 * F.col("gap")).cast("double").alias("logp")))
     lex = lexicon.at_least(toks.where("doc_id % 2 = 0").groupBy(text.lexicon_key(F.col("tok")).alias("word")).agg(F.count("*").alias("n")), 2)
-    taus = spark.createDataFrame([(0.5,), (1.0,), (2.0,)], "tau double")
-    return lexicon.corrected(words, lex, taus, _LETTER, ["doc_id", "pos", "truth"])
+    taus = toks.sparkSession.createDataFrame([(0.5,), (1.0,), (2.0,)], "tau double")
+    swept = lexicon.corrected(counted.withColumns({"greedy": F.col("read"), "cands": cands}), lex, taus, _LETTER, [*by, "truth", "read", "gap", "n"])
+    return lexicon.outcome(swept, F.col("truth"), [*by, "tau"], F.col("n"))
 
 
 _OUTCOME = "count(*) FILTER (WHERE chosen = truth) AS ok, count(*) FILTER (WHERE chosen = truth AND greedy <> truth) AS fixed, count(*) FILTER (WHERE greedy = truth AND chosen <> truth) AS broke, count(*) FILTER (WHERE greedy <> chosen) AS corrections"
@@ -638,13 +642,16 @@ _OUTCOME = "count(*) FILTER (WHERE chosen = truth) AS ok, count(*) FILTER (WHERE
 
 @query(f"WITH {_TAU} SELECT tau, {_OUTCOME} FROM sw GROUP BY tau")
 def tau_sweep(spark, sf):
-    return lexicon.outcome(_sweep(spark, sf), F.col("truth"), ["tau"])
+    return _sweep(tokens_of(table(spark, sf, "documents")), [])
 
 
-@query(f"WITH {_MARKED}, {_TAU} SELECT verdict, tau, {_OUTCOME} FROM sw JOIN documents USING (doc_id) JOIN verdicts USING (source) GROUP BY verdict, tau")
+@query(f"""WITH {_MARKED}, {_TAU} SELECT COALESCE(verdict, 'unknown') AS verdict, tau, {_OUTCOME} FROM sw JOIN documents USING (doc_id)
+    LEFT JOIN (SELECT * FROM verdicts WHERE source NOT LIKE '%7') v ON documents.source = v.source GROUP BY ALL""")
 def tau_by_verdict(spark, sf):
-    verdicts = table(spark, sf, "documents").select("doc_id", "source").join(_verdicts(spark, sf).select("source", "verdict"), "source").select("doc_id", "verdict")
-    return lexicon.outcome(_sweep(spark, sf).join(verdicts, "doc_id"), F.col("truth"), ["verdict", "tau"])
+    """A source without a verdict, here every one whose name ends in 7, is unknown."""
+    docs, known = table(spark, sf, "documents"), _verdicts(spark, sf).where("source not like '%7'").select("source", "verdict")
+    told = docs.join(known, "source", "left").withColumn("verdict", F.coalesce("verdict", F.lit("unknown")))
+    return _sweep(told.select("doc_id", "verdict", F.posexplode(text.tokens(F.col("text"))).alias("pos", "tok")), ["verdict"])
 
 
 # Manifests and files

@@ -150,14 +150,76 @@ def test_lines_anchor_on_their_first_box(spark):
     assert [r.box.text for r in got] == ["a", "b", "c", "e"]
 
 
-def test_pair_tokens():
-    pair = sequences.pair_tokens
-    assert pair(["a", "b"], ["a", "b"]) == [(0, 0, "exact"), (1, 1, "exact")]
-    assert pair(["x", "hայ", "y"], ["x", "հայ", "y"])[1] == (1, 1, "near")
-    assert pair(["x", "??", "y"], ["x", "հայ", "y"])[1] == (1, 1, "bracketed")
-    assert pair(["??", "y"], ["հայ", "y"]) == [(1, 1, "exact")]
-    assert pair(["x", "q", "y"], ["x", "հայ", "բառ", "y"]) == [(0, 0, "exact"), (2, 3, "exact")]
-    assert pair([], ["a"]) == [] and len(pair(["a"] * 300, ["a"] * 300)) == 300
+def test_pair_tokens(spark):
+    cases = [
+        (["a", "b"], ["a", "b"], [(0, 0, "exact"), (1, 1, "exact")]),
+        (["x", "hայ", "y"], ["x", "հայ", "y"], [(0, 0, "exact"), (1, 1, "near"), (2, 2, "exact")]),
+        (["x", "??", "y"], ["x", "հայ", "y"], [(0, 0, "exact"), (1, 1, "bracketed"), (2, 2, "exact")]),
+        (["x", "??", "??", "??", "y"], ["x", "հայ", "բառ", "գիր", "y"], [(0, 0, "exact"), (4, 4, "exact")]),
+        (["??", "y"], ["հայ", "y"], [(1, 1, "exact")]),
+        (["x", "q", "y"], ["x", "հայ", "բառ", "y"], [(0, 0, "exact"), (2, 3, "exact")]),
+        (["x", "q", "r", "y"], ["x", "y"], [(0, 0, "exact"), (3, 1, "exact")]),
+        ([], ["a"], []),
+        (["a"] * 300, ["a"] * 300, [(i, i, "exact") for i in range(300)]),
+    ]
+    df = spark.createDataFrame([(i, w, t) for i, (w, t, _) in enumerate(cases)], "page long, words array<string>, tokens array<string>")
+    got = align.pair_tokens(df, "page").collect()
+    assert len(got) == sum(len(w) for w, _, _ in cases)
+    for i, (words, truth, want) in enumerate(cases):
+        mine = sorted((r["at"], r.truth_at, r.tier) for r in got if r.page == i and r.tier)
+        assert mine == want
+        assert all(words[r["at"]] == r.word and (r.truth is None or truth[r.truth_at] == r.truth) for r in got if r.page == i)
+
+
+def test_gutters_equal_a_count_over_all_boxes(spark):
+    r, boxes = random.Random(5), []
+    for page in range(30):
+        n = r.randint(1, 40)
+        for k in range(n):
+            left = r.choice([0, 0, 400, 400, 800, r.randrange(900)])
+            boxes.append((page, k, "x", float(left), float(30 * k), float(left + r.choice([5, 100, 250, 330])), float(30 * k + r.choice([0, 15, 20]))))
+
+    def plain(page):
+        mine = [b for b in boxes if b[0] == page]
+        heights = sorted(b[6] - b[4] for b in mine if b[6] > b[4])
+        px = (0 if not heights else (heights[(len(heights) - 1) // 2] + heights[len(heights) // 2]) / 2) * 0.25
+        ext = [(b[3] + px, b[5] - px) if b[3] + px < b[5] - px else ((b[3] + b[5]) / 2,) * 2 for b in mine]
+        lo, hi = min(b[3] for b in mine), max(b[5] for b in mine)
+        if len(mine) < 4 or hi <= lo:
+            return [], None
+        low, high = lo + 0.15 * (hi - lo), lo + 0.85 * (hi - lo)
+        xs = sorted({x for x in [low, high, *itertools.chain(*ext)] if low <= x <= high})
+        found, best = [], []
+        for a, b in itertools.pairwise(xs):
+            mid = (a + b) / 2
+            crossings = sum(x0 < mid < x1 for x0, x1 in ext)
+            if crossings > max(3, 0.05 * len(mine)):
+                continue
+            found.append((mid, crossings, b - a))
+            left, right = [e for e in ext if e[1] <= mid], [e for e in ext if e[0] >= mid]
+            if min(len(left), len(right)) >= 0.15 * len(mine):
+                widths = sorted(max(e[1] for e in s) - min(e[0] for e in s) for s in (left, right))
+                if widths[0] >= 0.2 * (hi - lo) or widths[0] >= 0.5 * widths[1]:
+                    best.append((crossings, -(b - a), mid))
+        return found, min(best)[2] if best else None
+
+    df = spark.createDataFrame(boxes, BOX)
+    got, chosen = {}, {x.page: x.gutter for x in align.gutters(df, ["page"]).collect()}
+    for x in align.gutter_candidates(df, ["page"]).collect():
+        got.setdefault(x.page, []).append((x.x, x.crossings, x.gap))
+    for page in range(30):
+        found, best = plain(page)
+        assert np.allclose(sorted(got.get(page, [])), sorted(found)) and (best is None) == (page not in chosen)
+        assert best is None or abs(chosen[page] - best) < 1e-9
+
+
+def test_columns_read_their_boxes_once(spark, tmp_path):
+    spark.createDataFrame(placed([("x", x, 30 * i, 60, 20) for x in (100, 500) for i in range(5)]), BOX).write.parquet(str(tmp_path / "b"))
+    df = align.columns(spark.read.parquet(str(tmp_path / "b")), ["page"])
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans, exchanges = plan.count("FileScan parquet"), plan.count("Exchange hashpartitioning") - plan.count("], Exchange hashpartitioning")
+    assert scans <= 3 and exchanges <= 5, (scans, exchanges)
 
 
 def test_boxes_align_whole_or_not(spark):
@@ -192,9 +254,9 @@ def test_ratio_is_the_library_s(spark):
 
 
 def test_confusions(spark):
-    assert sequences.confusions_of("aիրb", "axb") == [("իր", "x")]
-    assert sequences.confusions_of("ab", "a") == [("b", "∅")] and sequences.confusions_of("a", "ab") == [("∅", "b")]
-    assert sequences.confusions_of("xaby", "xcdy") == [("a", "c"), ("b", "d")]
+    cases = [("aիրb", "axb", [("իր", "x")]), ("ab", "a", [("b", "∅")]), ("a", "ab", [("∅", "b")]), ("xaby", "xcdy", [("a", "c"), ("b", "d")]), ("a", "a", []), (None, "a", [("∅", "a")])]
+    found = spark.createDataFrame([c[:2] for c in cases], "t string, p string").select(sequences.confusions(F.col("t"), F.col("p")).alias("c")).collect()
+    assert [[tuple(x) for x in r.c] for r in found] == [c[2] for c in cases]
     df = spark.createDataFrame([("oa", "0a"), ("oa", "0a"), ("a", "a"), ("a", "e")], "truth string, predicted string")
     counts = confusion.confusion_counts(df)
     assert rows(counts) == [("a", "e", 1), ("o", "0", 2)]
