@@ -73,3 +73,8 @@ def describe_gaps(gaps: Column) -> Column:
     whole = F.array(*map(F.lit, letters))
     rest = F.array_join(F.array_sort(F.array_except(gaps, whole)), "")
     return F.when(F.size(F.array_intersect(gaps, whole)) == len(letters), F.trim(F.concat(rest, F.lit(" and all of Cyrillic")))).otherwise(F.array_join(F.array_sort(gaps), ""))
+
+
+def any_token(words: Column, holds) -> Column:
+    """Whether holds is true of any of an array's tokens; false of none."""
+    return F.exists(words, lambda t: F.coalesce(holds(t), F.lit(False)))

@@ -78,3 +78,9 @@ def even_spread(pages: DataFrame, count: int, group: str = "source", order: str
 def planned_sets(registry: DataFrame, harvested: DataFrame, protected: DataFrame, keys: tuple[str, str] = ("source", "page")) -> DataFrame:
     """Registered pages that were harvested and are not protected."""
     return registry.join(harvested.select(*keys), list(keys), "left_semi").join(protected.select(*keys), list(keys), "left_anti").distinct()
+
+
+def first_pages(pages: DataFrame, n: int, group: str = "source", order: str = "page", spec: list[int] | None = None) -> DataFrame:
+    """Of each group the first n pages in order, of those that spec lists, if it is given."""
+    listed = pages if spec is None else pages.where(F.col(order).isin(*spec))
+    return listed.withColumn("_i", F.row_number().over(Window.partitionBy(group).orderBy(order))).where(F.col("_i") <= n).drop("_i")

@@ -83,3 +83,33 @@ def stretched(values: Column, low: Column, high: Column) -> Column:
     """``(x - low + 25) * 200 / (high - low)`` within 0 to 255; the spread is 10 at least."""
     by = F.lit(200.0) / F.greatest(F.lit(10.0), high - low)
     return F.transform(values, lambda x: F.least(F.lit(255.0), F.greatest(F.lit(0.0), (x.cast("double") - low + 25) * by)))
+
+
+def stage_means(rows: DataFrame, stages: dict[str, Column], expected: Column) -> DataFrame:
+    """(stage, similarity, n): the mean character similarity of each stage's text to the expected one; a missing text counts nowhere."""
+    long = rows.select(expected.alias("expected"), F.explode(F.array(*(F.struct(F.lit(k).alias("stage"), c.alias("text")) for k, c in stages.items()))).alias("s")).select("expected", "s.*")
+    scored = long.withColumn("similarity", char_similarity(F.col("text"), F.col("expected")))
+    return scored.groupBy("stage").agg(F.round(F.avg("similarity"), 6).alias("similarity"), F.count("similarity").alias("n"))
+
+
+def exact_by(rows: DataFrame, by: list[str], read: str = "read", label: str = "label") -> DataFrame:
+    """(by..., lines, exact, similarity): share of lines read exactly, and their mean edit similarity."""
+    each = rows.select(*by, (F.col(read) == F.col(label)).cast("double").alias("exact"), norm_edit(F.col(label), F.col(read)).alias("similarity"))
+    return each.groupBy(*by).agg(F.count("*").alias("lines"), F.round(F.avg("exact"), 6).alias("exact"), F.round(F.avg("similarity"), 6).alias("similarity"))
+
+
+def running_mean(rows: DataFrame, value: str, order: str, group: list[str] = ()) -> DataFrame:
+    """rows and the mean of all values so far, as a loss is averaged while a run goes on."""
+    w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("running_mean", F.avg(value).over(w))
+
+
+def cells(backends: DataFrame, pages: DataFrame, readings: DataFrame, keys: list[str]) -> DataFrame:
+    """A row for each of the backends, a short list, and each page: with the reading, or nulls where the backend failed."""
+    return pages.crossJoin(F.broadcast(backends)).join(readings, keys, "left")
+
+
+def by_register(rows: DataFrame, bundle: str, register: str, values: list[str]) -> DataFrame:
+    """(bundle, registers, values...): the mean over registers of their means; a register without readings is no zero, it counts nowhere."""
+    each = rows.groupBy(bundle, register).agg(*(F.avg(v).alias(v) for v in values), F.count(values[0]).alias("_n")).where("_n > 0")
+    return each.groupBy(bundle).agg(F.count("*").alias("registers"), *(F.round(F.avg(v), 6).alias(v) for v in values))

@@ -58,3 +58,22 @@ def markdown(rows: DataFrame, columns: list[str], order: list[Column]) -> DataFr
     """(place, line): rows of a Markdown table, sorted; a report, so of few rows."""
     line = F.concat(F.lit("| "), F.array_join(F.array(*(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)), " | "), F.lit(" |"))
     return rows.orderBy(*order).select(line.alias("line"))
+
+
+def at_quality(pages: DataFrame, floor: int, floors: tuple[int, ...] = (3, 4), quality: str = "quality") -> DataFrame:
+    """pages of at least floor, which must be one of floors; pages without a quality go."""
+    if floor not in floors:
+        raise ValueError(f"{floor} is none of {floors}")
+    return pages.where(F.col(quality) >= floor)
+
+
+def looked_up(rows: DataFrame, costly: DataFrame, key: str, worth: Column) -> DataFrame:
+    """rows with the columns of costly, which only rows that are worth it are joined with; others have nulls."""
+    asked = rows.where(F.coalesce(worth, F.lit(False))).select(key).distinct().join(costly, key)
+    return rows.join(asked, key, "left")
+
+
+def shares(rows: DataFrame, by: list[str], flags: dict[str, Column]) -> DataFrame:
+    """(by..., n, a count of each flag, the share of each flag)."""
+    counted = rows.groupBy(*by).agg(F.count("*").alias("n"), *(F.count_if(c).alias(name) for name, c in flags.items()))
+    return counted.withColumns({f"{name}_share": F.round(F.col(name) / F.col("n"), 6) for name in flags})

@@ -102,3 +102,26 @@ def prefix_share(rows: DataFrame, share: float, group: str, order: list[str]) ->
     w = Window.partitionBy(group)
     ranked = rows.withColumns({"_i": F.row_number().over(w.orderBy(*order)), "_n": F.count("*").over(w)})
     return ranked.where(F.col("_i") <= F.floor(F.col("_n") * share)).drop("_i", "_n")
+
+
+def family_allocation(lines: DataFrame, families: list[str], each: int, order: list[str]) -> DataFrame:
+    """(family, slot, ...): the lines dealt out in order, ``each`` to every family, one family after the other; what is left over goes.
+
+    Only the first ``each * len(families)`` lines are ranked, so no task sorts all of them.
+    """
+    first = lines.orderBy(*order).limit(each * len(families))
+    at = F.row_number().over(Window.orderBy(*order)) - 1
+    names = F.array(*map(F.lit, sorted(families)))
+    return first.withColumn("_i", at).withColumns({"family": F.get(names, F.floor(F.col("_i") / each).cast("int")), "slot": (F.col("_i") % each).cast("int")}).drop("_i")
+
+
+def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """rows and ``place``, from 1: their number in the order of (group, order).
+
+    Each group is numbered by itself, and begins where the groups before it end; one task
+    sees no more than a row for each group.
+    """
+    before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(group).agg(F.count("*").alias("_n")).select(F.col(group).alias("_g"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = rows.withColumn("_i", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    return own.join(starts, F.col(group).eqNullSafe(F.col("_g"))).withColumn("place", (F.col("_start") + F.col("_i")).cast("bigint")).drop("_g", "_start", "_i")

@@ -14,7 +14,7 @@ from quern.operators import align, checks, confusion, ctc, holdout, lexicon, met
 from quern.sources import files, labels, manifest
 from quern.streaming.manifest import windowed_counts
 
-from .derived import BOXES, PREDICTIONS, TOKENS, boxes, predictions, table, tokens_of
+from .derived import BOXES, PREDICTIONS, SCRIPTED, SCRIPTED_TOKENS, TOKENS, boxes, predictions, scripted, table, tokens_of
 from .registry import ORACLE_SQL, QUERIES, query  # noqa: F401
 
 # Contamination and held-out pages
@@ -185,10 +185,13 @@ def verdict_rollup(spark, sf):
 _LATIN_LETTERS = charset.LETTERS["latin"]
 
 
-@query(r"""SELECT source, CAST(sum(len(regexp_extract_all(text, '[Ա-Ֆա-և]'))) AS BIGINT) AS letters,
-    CAST(sum(len(regexp_extract_all(text, 'ւ')) - len(regexp_extract_all(text, '[ոՈ]ւ'))) AS BIGINT) AS free_yiwn FROM documents GROUP BY source""")
+@query(rf"""WITH {SCRIPTED}, chars AS (SELECT doc_id, source, unnest(a) AS ch, unnest(range(len(a))) AS i FROM (SELECT doc_id, source, string_split(text, '') AS a FROM scripted)),
+    c AS (SELECT source, ch, lag(ch) OVER w AS before, lead(ch) OVER w AS after FROM chars WINDOW w AS (PARTITION BY doc_id ORDER BY i))
+    SELECT source, count(*) FILTER (WHERE regexp_matches(ch, '[Ա-Ֆա-և]')) AS letters, count(*) FILTER (WHERE ch = 'ւ' AND COALESCE(before, '') NOT IN ('ո', 'Ո')) AS free_yiwn,
+    count(*) FILTER (WHERE ch = 'յ' AND before IN ('ա', 'ո', 'ե', 'է', 'ի', 'օ') AND NOT regexp_matches(COALESCE(after, ''), '[Ա-Ֆա-և]')) AS final_y, count(*) FILTER (WHERE ch = 'է' AND regexp_matches(before, '[ա-և]')) AS inner_e,
+    count(*) FILTER (WHERE ch = 'ւ' AND before IN ('ե', 'Ե')) AS two_letter_ew, count(*) FILTER (WHERE ch = 'և') AS ligature_ew FROM c GROUP BY source""")
 def orthography_markers(spark, sf):
-    return profile.marker_counts(table(spark, sf, "documents"), "source", profile.ORTHOGRAPHY).select("source", "letters", "free_yiwn")
+    return profile.marker_counts(scripted(table(spark, sf, "documents")), "source", profile.ORTHOGRAPHY)
 
 
 @query(rf"""WITH {_MARKED}, {TOKENS}, w AS (SELECT verdict, {_KEY} AS word FROM tokens JOIN documents USING (doc_id) JOIN verdicts USING (source))
@@ -208,18 +211,18 @@ def wordlist_union_upsert(spark, sf):
     return lexicon.raised(both, lexicon.external_forms(external), 3)
 
 
-@query(rf"""WITH {TOKENS}, f AS (SELECT regexp_matches(tok, '[Ա-Ֆա-և]') AS armenian, regexp_matches(tok, '[А-Яа-яЁё]') AS cyrillic, regexp_matches(tok, '[A-Za-z]') AS latin FROM tokens)
+@query(rf"""WITH {SCRIPTED_TOKENS}, f AS (SELECT regexp_matches(tok, '[Ա-Ֆա-և]') AS armenian, regexp_matches(tok, '[А-Яа-яЁё]') AS cyrillic, regexp_matches(tok, '[A-Za-z]') AS latin FROM tokens)
     SELECT concat_ws('+', CASE WHEN armenian THEN 'armenian' END, CASE WHEN cyrillic THEN 'cyrillic' END, CASE WHEN latin THEN 'latin' END) AS scripts,
     cyrillic AND (armenian OR latin) AS mixes, count(*) AS n FROM f GROUP BY ALL""")
 def script_flags(spark, sf):
-    toks = tokens_of(table(spark, sf, "documents"))
+    toks = tokens_of(scripted(table(spark, sf, "documents")))
     return toks.groupBy(F.array_join(charset.scripts_of(F.col("tok")), "+").alias("scripts"), charset.mixes_cyrillic(F.col("tok")).alias("mixes")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT doc_id, regexp_matches(line, '[Ա-Ֆա-և]') AND regexp_matches(line, '[А-Яа-яЁё]') AS mixed, count(*) AS lines
-    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY ALL""")
+@query(f"""WITH {SCRIPTED} SELECT doc_id, regexp_matches(line, '[Ա-Ֆա-և]') AND regexp_matches(line, '[А-Яа-яЁё]') AS mixed, count(*) AS lines
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM scripted) GROUP BY ALL""")
 def mixed_script_lines(spark, sf):
-    lines = table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    lines = scripted(table(spark, sf, "documents")).select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     return lines.groupBy("doc_id", charset.is_mixed_line(F.col("line")).alias("mixed")).agg(F.count("*").alias("lines"))
 
 
@@ -259,9 +262,9 @@ def first_comma_labels(spark, sf):
     return labels.loadable(lines.select(*labels.split_label(F.col("value"))), _CLASS, 60)
 
 
-@query(r"""SELECT slug, count(*) AS n FROM (SELECT regexp_replace(regexp_replace(url, '[^\p{L}\p{N}]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM pages) GROUP BY slug HAVING count(*) > 1""")
+@query(r"""SELECT slug, count(*) AS n FROM (SELECT regexp_replace(regexp_replace(regexp_extract(url, '://([^/]*)', 1), '[^\p{L}\p{N}]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM pages) GROUP BY slug HAVING count(*) > 1""")
 def slug_collisions(spark, sf):
-    return checks.duplicates(table(spark, sf, "pages").select(text.source_slug(F.col("url")).alias("slug")), "slug")
+    return checks.duplicates(table(spark, sf, "pages").select(text.source_slug(F.regexp_extract("url", "://([^/]*)", 1)).alias("slug")), "slug")
 
 
 @query(r"""SELECT page_id, slug || '_' || printf('%04d', page_id % 10000) || '_' || printf('%04d', page_id % 7) || '.png' AS name, slug, CAST(page_id % 10000 AS INT) AS page, CAST(page_id % 7 AS INT) AS place

@@ -34,6 +34,34 @@ def write_sidecar(values: DataFrame, path: str) -> None:
     values.coalesce(1).write.json(path)
 
 
+def write_table(rows: DataFrame, path: str, tab: bool = False) -> None:
+    """CSV or TSV with a header, as audits of crops and lists of faces are kept; null is an empty field."""
+    rows.write.option("header", True).option("sep", "\t" if tab else ",").option("nullValue", "").csv(path)
+
+
+def recipe(values: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
+    """(recipe): one JSON object of the settings (key, value), keys in order; a recipe is short."""
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(key).cast("string"), F.col(value).cast("string"))))
+    return values.agg(F.to_json(F.map_from_entries(pairs)).alias("recipe"))
+
+
+def write_recipe(values: DataFrame, path: str, key: str = "key", value: str = "value") -> None:
+    recipe(values, key, value).withColumnRenamed("recipe", "value").coalesce(1).write.text(path)
+
+
+def discover(spark: SparkSession, root: str, name: str = "manifest.json") -> DataFrame:
+    """(folder, modified) of the folders under root that hold a file of this name; no file is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name).load(root)
+    return found.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder"), F.col("modificationTime").alias("modified"))
+
+
+def evaluation_sets(spark: SparkSession, root: str, images: str = "images") -> DataFrame:
+    """(folder) of the folders under root that hold a manifest and a folder of images with something in it."""
+    pictures = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    parents = pictures.select(F.regexp_extract("path", rf"^(.*)/{images}/[^/]*$", 1).alias("folder")).where("folder <> ''").distinct()
+    return discover(spark, root).select("folder").join(parents, "folder", "left_semi")
+
+
 CANDIDATES = "file STRING, label STRING, greedy STRING, words STRING"
 
 

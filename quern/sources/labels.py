@@ -29,3 +29,13 @@ def write_labels(labels: DataFrame, path: str) -> None:
 def loadable(labels: DataFrame, allowed_class: str, longest: int) -> DataFrame:
     """Labels short enough whose lower-case form has only characters of the set, by membership."""
     return labels.where((F.length("words") <= longest) & ~F.lower("words").rlike(f"[^{allowed_class}]"))
+
+
+def stripped(label: Column, allowed_class: str) -> Column:
+    """label without the characters that the set lacks, as it is taken in when an item is read: by its own case, not in lower case."""
+    return F.regexp_replace(label, f"[^{allowed_class}]", "")
+
+
+def label_counts(lines: DataFrame, name: str = "name") -> DataFrame:
+    """(name, labels): of each label file (name, value) its lines but the header."""
+    return lines.groupBy(name).agg((F.count_if(F.col("value") != HEADER)).alias("labels"))

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from quern.plans import queries as plans
+from quern.plans import registry as plans
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).is_dir(), reason="needs the driver's tables")

@@ -368,3 +368,121 @@ def test_stream_upserts_once(spark, tmp_path):
     assert run() == [(1, "ա բ")]
     spark.createDataFrame([(1, "նոր"), (3, "գ")], schema).write.mode("append").json(source)
     assert run() == [(1, "նոր"), (3, "գ")]
+
+
+# Archives, APIs, paths
+
+
+def test_archives_and_gzip(spark, tmp_path):
+    import gzip
+    import io
+    import tarfile
+
+    from quern.sources import archive
+
+    def tarred(members, mode):
+        out = io.BytesIO()
+        with tarfile.open(fileobj=out, mode=mode) as tar:
+            for name, data in members:
+                info = tarfile.TarInfo(name)
+                info.size = len(data)
+                tar.addfile(info, io.BytesIO(data))
+        return out.getvalue()
+
+    quad = json.dumps([{"box": [[1, 2], [9, 2], [9, 8], [1, 8]], "text": "x é", "conf": None}]).encode()
+    (tmp_path / "a.tar.gz").write_bytes(tarred([("pred/7.json", quad), ("pred/7.txt", "x é\ny".encode()), ("readme", b"no")], "w:gz"))
+    (tmp_path / "b.tar").write_bytes(tarred([("8.txt", b"")], "w"))
+    held = archive.read_archives(spark, str(tmp_path))
+    assert rows(archive.texts(held), "page", "text") == [(7, "x é\ny"), (8, "")]
+    assert rows(archive.detections(held), "page", "place", "text", "l", "t", "r", "b") == [(7, 0, "x é", 1.0, 2.0, 9.0, 8.0)]
+    assert archive.members(held).count() == 4 and archive.members(held.where("false")).count() == 0
+    odd = spark.createDataFrame([("n", None), ("e", bytearray())], "path string, content binary")
+    assert archive.members(odd).count() == 0
+    raw = spark.createDataFrame([(1, bytearray(gzip.compress(b"abc"))), (2, bytearray(b"abc")), (3, None)], "k int, content binary")
+    assert [r.p for r in raw.orderBy("k").select(archive.plain("content").alias("p")).collect()] == [b"abc", b"abc", None]
+    boxes = spark.createDataFrame([(5, 1, "b", 0.0, 1.0, 2.0, 3.0, 0.5), (5, 0, None, 0.0, 1.0, 2.0, 3.0, None)], f"{BOX}, conf double")
+    tars = archive.packed(archive.prediction_files(boxes).withColumn("path", F.lit("p")), "path")
+    assert [(r.place, r.text, r.conf) for r in archive.detections(tars).orderBy("place").collect()] == [(0, None, None), (1, "b", 0.5)]
+    assert rows(archive.texts(tars), "page", "text") == [(5, "\nb")]
+
+
+def test_folders_are_discovered(spark, tmp_path):
+    for name, images in (("a", True), ("b", False), ("c", True)):
+        (tmp_path / name / "images").mkdir(parents=True)
+        if name != "c":
+            (tmp_path / name / "manifest.json").write_text("{}")
+        if images:
+            (tmp_path / name / "images" / "1.png").write_bytes(b"x")
+    assert [r.folder[-1] for r in files.discover(spark, str(tmp_path)).orderBy("folder").collect()] == ["a", "b"]
+    assert [r.folder[-1] for r in files.evaluation_sets(spark, str(tmp_path)).collect()] == ["a"]
+
+
+def test_index_stream_follows_the_api_s_tokens(spark, tmp_path):
+    from quern.sources import api
+
+    spark.dataSource.register(api.PageIndex)
+    options = {"indexes": json.dumps(["Work 0", "Work 9", "Work 20"]), "transport": "quern.plans.derived:rehearsal"}
+    whole = rows(spark.read.format("page_index").options(**options).load())
+    assert whole == rows(spark.read.format("page_index").options(**options, min_quality="4").load().unionByName(spark.read.format("page_index").options(**options).load().where("quality = 3")))
+    for _ in range(2):  # a restart takes nothing twice
+        query = spark.readStream.format("page_index").options(**options).load().writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).start(str(tmp_path / "o"))
+        query.processAllAvailable()
+        query.stop()
+    assert rows(spark.read.parquet(str(tmp_path / "o"))) == whole and len(whole) == 11
+    with pytest.raises(RuntimeError, match="API says"):
+        api.answered(lambda _: {"error": "x"}, {})
+
+
+def test_crawl_keeps_errors_as_rows(spark):
+    from quern.sources import api
+
+    titles = spark.createDataFrame([("a/1",), ("a/1",), ("a/13",), ("b/2",), (None,)], "title string")
+    got = rows(api.crawl(titles, "quern.plans.derived:rehearsal", done=titles.where("title = 'b/2'")).fillna("-"), "title", "text", "error")
+    assert got == [("a/1", "text of a/1", "-"), ("a/13", "-", "RuntimeError: the API says: no such page")]
+
+
+def segmented(path, separators):
+    """The parts of a path, mark by mark."""
+    marks = []
+    for name, (a, b) in separators.items():
+        for c, last in ((a, True), (b, False)):
+            at = [i for i, x in enumerate(path) if x == c]
+            marks += [(i, name, c == a) for k, i in enumerate(at) if (at[k + 1 : k + 2] != [i + 1] if last else at[k - 1] != i - 1 or k == 0)]
+    out, start, open_, at = [], 0, None, 0
+    for i, name, opens in sorted(marks):
+        if opens:
+            open_, at = name, i
+        elif open_ == name:
+            out += [("", start, at - 1)] * (at > start) + [(name, at + 1, i - 1)]
+            start = i + 1
+        else:
+            open_ = None
+    return out + [("", start, len(path) - 1)] * (start < len(path))
+
+
+def test_word_segments_and_word_beam(spark):
+    r, seps = random.Random(3), {"th": (1, 2), "en": (3, 4)}
+    paths = [[r.randrange(7) for _ in range(r.randint(0, 25))] for _ in range(200)]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "k int, p array<int>")
+    got = {x.k: [tuple(s) for s in x.s] for x in df.select("k", ctc.segments(F.col("p"), seps).alias("s")).collect()}
+    assert got == {i: segmented(p, seps) for i, p in enumerate(paths)}
+    from quern.functions import arrays
+
+    runs_ = spark.createDataFrame([([1, 2, 3, 7, 9, 10],), ([],)], "v array<int>").select(arrays.consecutive(F.col("v")).alias("a"), arrays.consecutive(F.col("v"), last=True).alias("b")).collect()
+    assert [tuple(x) for x in runs_] == [([1, 7, 9], [3, 7, 10]), ([], [])]
+    matrix = np.full((4, 7), 0.01)
+    for t, (c, p) in enumerate([(1, 0.9), (5, 0.5), (6, 0.4), (2, 0.9)]):
+        matrix[t, c] = p
+    matrix[1, 6], matrix[2, 5] = 0.45, 0.35
+    free = ctc.word_search(matrix, {}, [("th", 1, 2)])
+    assert free == ctc.beam_search(matrix[1:3], 5) and ctc.word_search(matrix, {"th": {(6,)}}, [("th", 1, 2)]) == [6]
+    one = spark.createDataFrame([(matrix.tolist(),)], "m array<array<double>>").select(ctc.word_beam({"th": [[6]]}, seps)(F.col("m")).alias("x")).first().x
+    assert one == [6]
+
+
+def test_names_templates_and_levels(spark):
+    assert [r.n for r in spark.createDataFrame([("a",), ("\x01",), (None,)], "c string").select(text.unicode_name("c").alias("n")).collect()] == ["LATIN SMALL LETTER A", "?", None]
+    deep = "x" + "{{a|" * 30 + "b" + "}}" * 30 + "y {{{c}}{d}} z {{open {{e}} " + "{{f}}" * 50
+    assert spark.createDataFrame([(deep,)], "t string").select(text.strip_templates(F.col("t")).alias("t")).first().t == "xy  z {{open  "
+    with pytest.raises(ValueError, match="none of"):
+        profile.at_quality(spark.range(1).withColumn("quality", F.lit(3)), 2)
