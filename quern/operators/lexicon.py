@@ -9,9 +9,13 @@ from quern.functions.text import edges, lexicon_key, tokens
 
 
 def word_counts(docs: DataFrame, letter: str, text: str = "text", by: list[str] = ()) -> DataFrame:
-    """(by..., word, n) of the keys with one of the letters (a class such as ``A-Za-z``)."""
-    words = docs.select(*by, F.explode(tokens(F.col(text))).alias("tok")).select(*by, lexicon_key(F.col("tok")).alias("word"))
-    return words.where(F.col("word").rlike(f"[{letter}]")).groupBy(*by, "word").agg(F.count("*").alias("n"))
+    """(by..., word, n) of the keys with one of the letters (a class such as ``A-Za-z``).
+
+    Tokens are counted as they stand; keys are made of the distinct ones only.
+    """
+    seen = docs.select(*by, F.explode(tokens(F.col(text))).alias("tok")).groupBy(*by, "tok").agg(F.count("*").alias("_n"))
+    words = seen.select(*by, lexicon_key(F.col("tok")).alias("word"), "_n").where(F.col("word").rlike(f"[{letter}]"))
+    return words.groupBy(*by, "word").agg(F.sum("_n").alias("n"))
 
 
 def at_least(counts: DataFrame, least: int) -> DataFrame:

@@ -228,7 +228,19 @@ def mixed_script_lines(spark, sf):
 
 # Cleaning
 
-@query()
+def _clean_sql(text_: str) -> str:
+    """The steps on texts without Armenian letters, printed or doubled brackets, and nested templates, which RE2 can say."""
+    for pattern, by in [*text.MARKUP, (text.TEMPLATE, ""), *text.AFTER_TEMPLATES, *text.TABLES]:
+        text_ = f"regexp_replace({text_}, '{pattern.replace(chr(39), chr(39) * 2)}', '{by.replace('$1', chr(92) + '1')}', 'g')"
+    for mark, by in text.SUBSTITUTIONS:
+        text_ = f"replace({text_}, chr({ord(mark)}), '{by}')"
+    text_ = rf"regexp_replace(regexp_replace({text_}, '<(\S)', '«\1', 'g'), '(\S)>([^\p{{L}}\p{{N}}_]|$)', '\1»\2', 'g')"
+    breaks, tidy = r"\r\n|[\n\r\v\f\x1c-\x1e\x{85}\x{2028}\x{2029}]", r"regexp_replace(regexp_replace(x, '[ \t]+', ' ', 'g'), '^\s+|\s+$', '', 'g')"
+    lines = f"array_to_string(list_transform(regexp_split_to_array({text_}, '{breaks}'), lambda x: {tidy}), chr(10))"
+    return rf"regexp_replace(regexp_replace({lines}, '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')"
+
+
+@query(f"SELECT page_id, {_clean_sql('html')} AS clean FROM pages")
 def clean_markup_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", text.clean_markup(F.col("html")).alias("clean"))
 
