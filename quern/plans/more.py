@@ -323,7 +323,14 @@ def consecutive_runs(spark, sf):
     return held.select("vec_id", arrays.consecutive(F.col("at")).alias("firsts"), arrays.consecutive(F.col("at"), last=True).alias("lasts"))
 
 
-@query()
+@query("""WITH p AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(abs(x) * 20) % 7 AS INT)) AS path FROM embeddings),
+    e AS (SELECT vec_id, len(path) AS n, unnest(path) AS c, CAST(unnest(range(len(path))) AS INT) AS i FROM p), near AS (SELECT *, lag(c) OVER w AS b, lead(c) OVER w AS a FROM e WINDOW w AS (PARTITION BY vec_id ORDER BY i)),
+    marks AS (SELECT vec_id, n, i, CASE WHEN c <= 2 THEN 'th' ELSE 'en' END AS name, c IN (1, 3) AS opens FROM near WHERE (c IN (1, 3) AND a IS DISTINCT FROM c) OR (c IN (2, 4) AND b IS DISTINCT FROM c)),
+    opened AS (SELECT *, max(CASE WHEN opens THEN i END) OVER w AS since, arg_max(CASE WHEN opens THEN name END, CASE WHEN opens THEN i END) OVER w AS held FROM marks WINDOW w AS (PARTITION BY vec_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    closed AS (SELECT *, bool_and(name = held) OVER (PARTITION BY vec_id, since ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fits FROM opened WHERE NOT opens AND since IS NOT NULL),
+    parts AS (SELECT vec_id, n, i, name, since, COALESCE(lag(i) OVER (PARTITION BY vec_id ORDER BY i) + 1, 0) AS start FROM closed WHERE fits)
+    SELECT vec_id, '' AS name, start AS first, since - 1 AS last FROM parts WHERE since > start UNION ALL SELECT vec_id, name, since + 1, i - 1 FROM parts
+    UNION ALL SELECT p.vec_id, '', COALESCE(d.done, 0), CAST(len(path) - 1 AS INT) FROM p LEFT JOIN (SELECT vec_id, max(i) + 1 AS done FROM parts GROUP BY vec_id) d ON p.vec_id = d.vec_id WHERE COALESCE(d.done, 0) < len(path)""")
 def word_segments(spark, sf):
     path = F.transform("embedding", lambda x: (F.floor(F.abs(x) * 20) % 7).cast("int"))
     held = table(spark, sf, "embeddings").select("vec_id", path.alias("path"))

@@ -154,3 +154,11 @@ def title_volumes(spark, sf):
     titles = table(spark, sf, "documents").select(F.concat(F.lit("Index:"), "source", F.lit(" 1.djvu")).alias("index")).distinct()
     swapped = titles.select(text.file_title(F.col("index"), "Index:", "").alias("title"))
     return swapped.select(F.lit("upper").alias("kind"), "title", text.volume_of(F.col("title")).alias("volume"))
+
+
+@query("SELECT count(*) AS documents, CAST(sum(n_chars) AS BIGINT) AS chars, sha256('v1') AS version FROM documents")
+def sidecar_files(spark, sf):
+    path = scratch(spark, "sidecar")
+    told = table(spark, sf, "documents").agg(F.count("*").alias("documents"), F.sum("n_chars").alias("chars"))
+    files.write_sidecar(told.withColumn("version", F.sha2(F.lit("v1"), 256)), path)
+    return spark.read.schema("documents bigint, chars bigint, version string").json(path)
