@@ -246,7 +246,10 @@ def encode(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path:
 
 
 def digests(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256): what ``encode`` gives, as digests, without moving the ids to the JVM."""
+    """(id, n_tokens, ids_sha256, decoded_sha256): what ``encode`` gives, as digests, without moving the ids to the JVM.
+
+    Null is empty: no tokens.  Repeated rows stay, other columns are left out; no documents, no rows.
+    """
     raw, pattern = _vocabulary(path, pattern)
 
     def make():

@@ -215,7 +215,11 @@ def feature(got: Parsed, payload: bytes) -> str:
 
 
 def store(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """(id, n_bytes, media binary): each whole text, padded, as a transport stream; null is empty."""
+    """(id, n_bytes, media binary): each whole text, padded, as a transport stream; null is empty.
+
+    Equal texts give equal streams; repeated rows stay, other columns are left out; no
+    documents, no rows.
+    """
 
     def row(key, value):
         n, payload = padded(value)
@@ -227,7 +231,8 @@ def store(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> Dat
 def units(media: DataFrame, column: str = "media", id_column: str = "doc_id") -> DataFrame:
     """A row for each elementary packet of each stream: (id, pid, stream_type, unit, pts, dts, random_access, byte_offset, whole, gaps, data).
 
-    Null and empty streams, and streams without programme tables, give no rows.
+    Null and empty streams, and streams without programme tables, give no rows; repeated
+    streams give theirs again; other columns are left out.
     """
     told = f"{typed(media, id_column)},pid int,stream_type int,unit int,pts bigint,dts bigint,random_access boolean,byte_offset bigint,whole boolean,gaps int,data binary"
     schema = arrow_schema(told)
@@ -249,7 +254,8 @@ def units(media: DataFrame, column: str = "media", id_column: str = "doc_id") ->
 def digests(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """What ``store`` writes and ``parse`` reads back of every row, as digests and features.
 
-    Equal texts give equal values.  Other columns are left out, repeated rows stay.
+    Equal texts give equal values; null is empty.  Other columns are left out, repeated rows
+    stay; no documents, no rows.
     """
 
     def row(key, value):

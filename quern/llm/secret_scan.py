@@ -116,7 +116,8 @@ def scan(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path: s
     """(id, n_assign, n_access, n_hex, base_sha256, spans) of every whole text; null is empty.
 
     Positions are code points.  Rows without a find have zero counts, the digest of the
-    empty string and empty spans.  Other columns are left out, repeated rows stay.
+    empty string and empty spans.  Spans that begin together lie in the order of their kinds.
+    Other columns are left out, repeated rows stay; no documents, no rows.
     """
     raw, pattern = _vocabulary(path)
 
@@ -147,6 +148,7 @@ def redact(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path:
     """docs with all secrets in text replaced; every row stays, null text stays null.
 
     Of the other columns only ``n_chars``, if there is one of integers, follows the new text.
+    Repeated rows stay; no documents, no rows.
     """
     import pyarrow as pa
 

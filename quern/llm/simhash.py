@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, map_rows, materialise, typed
@@ -149,17 +149,22 @@ def keep_one(docs: DataFrame, text: str = "text", id_column: str = "doc_id", wor
 def one_of_each(docs: DataFrame, found: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """docs, with all their columns, without all but one row of each group: that of the group's least id.
 
-    Rows with that id are told apart by their text, then by all their columns; the first stays.
-    Of groups whose ids are all null one row for each text stays.  What goes is joined, not
-    what stays, as it is the smaller part; texts are dealt out only if it is too large to broadcast.
+    Rows with that id are told apart by a hash of their text, then of all their columns; the
+    first stays.  Of groups whose ids are all null one row for each text stays.  What goes is
+    joined, not what stays, as it is the smaller part; texts are dealt out only if it is too
+    large to broadcast.  An id that very many rows have is summed up before it is dealt out.
     """
     stays = F.col(id_column).eqNullSafe(F.col("component_id"))
     gone = found.where(~stays).select(F.col(id_column).alias("gone"), F.col("text_hash").alias("gone_hash")).distinct()
-    repeats = found.where(stays).groupBy(id_column).agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
     digest = F.xxhash64(F.coalesce(docs[text], F.lit("")))
     kept = docs.join(gone, docs[id_column].eqNullSafe(gone["gone"]) & (digest == gone["gone_hash"]), "left_anti")
-    if repeats:
-        order = Window.partitionBy(id_column, F.when(F.col(id_column).isNull(), F.xxhash64(text))).orderBy(F.xxhash64(text), F.to_json(F.struct(*docs.columns)))
-        ranked = kept.select(F.struct(*docs.columns).alias("row"), F.row_number().over(order).alias("rank"))
-        kept = ranked.where("rank = 1").select("row.*")
-    return kept
+    many = found.where(stays).groupBy(F.col(id_column).alias("_many")).agg(F.count("*").alias("_n")).where("_n > 1").select("_many")
+    if not many.limit(1).count():
+        return kept
+    again = F.col(f"_row.{id_column}").eqNullSafe(F.col("_many"))
+    held = kept.select(F.struct(*(kept[c] for c in docs.columns)).alias("_row")).withColumns({"_h": F.xxhash64(F.coalesce(F.col(f"_row.{text}"), F.lit(""))), "_r": F.xxhash64(F.to_json("_row"))})
+    held = held.withColumn("_id", F.col(f"_row.{id_column}")).withColumn("_of", F.when(F.col("_id").isNull(), F.col("_h")))
+    some = held.join(many, again, "left_semi").dropDuplicates(["_id", "_h", "_r"])
+    first = some.groupBy(F.col("_id").alias("_id1"), F.col("_of").alias("_of1")).agg(F.min(F.struct("_h", "_r")).alias("_first"))
+    one = some.join(first, F.col("_id").eqNullSafe(F.col("_id1")) & F.col("_of").eqNullSafe(F.col("_of1")) & (F.col("_h") == F.col("_first._h")) & (F.col("_r") == F.col("_first._r")), "left_semi")
+    return held.join(many, again, "left_anti").select("_row.*").unionByName(one.select("_row.*"))
