@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -135,13 +138,22 @@ def slices(batches: Iterable[pa.RecordBatch], most: int = 4 << 20) -> Iterator[p
     """The batches in slices of about most bytes, so that Python objects of few rows exist at a time.
 
     Workers live on between tasks; Arrow's memory comes from the system's pool, which gives
-    large blocks back at once.
+    large blocks back at once, and what the task before held is given back first.
     """
     pa.set_memory_pool(pa.system_memory_pool())
+    give_back()
     for batch in batches:
         rows = max(1, batch.num_rows * most // max(batch.nbytes, 1))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Freed memory goes from the C library to the system, where there is a way to say so."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def arrow_schema(schema: str) -> pa.Schema:

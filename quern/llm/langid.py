@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chosen, least_hashes, map_rows, slices, typed
+from .common import chosen, discard, least_hashes, map_rows, materialise, slices, typed
 
 #: A word: letters (and marks that stand among them) without digits and signs.
 WORD = re.compile(r"[^\W\d_]+")
@@ -154,21 +154,20 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", settings: S
     spoken = labelled.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(settings.languages)
     counts = {r["lang"]: r["n"] for r in spoken.collect()}
     bounds = least_hashes(rows, "lang", "h", max(1, settings.rows // len(counts)), counts) if counts else {}
-    words = chosen(rows, "lang", "h", bounds).select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_NATIVE_WORD), F.lit(0))).alias("item")).groupBy("lang", "item").agg(F.count("*").alias("n")).persist()
-    try:
-
-        def often(counted: DataFrame) -> list:
-            keep = counted.groupBy("item").agg(F.sum("n").alias("all")).where(F.col("all") >= settings.least).select("item")
-            got = counted.join(keep, "item", "left_semi").select("item", "lang", "n").toArrow().to_pydict()
-            return sorted(zip(got["item"], got["lang"], got["n"], strict=True))
-
-        marked = F.concat(F.lit("<"), F.col("item"), F.lit(">"))
-        sizes = F.array(*map(F.lit, range(1, settings.longest + 1)))
-        spread = F.flatten(F.transform(sizes, lambda k: F.when(F.length(marked) >= k, F.transform(F.sequence(F.lit(1), F.length(marked) - k + 1), lambda i: F.substring(marked, i, k))).otherwise(F.array().cast("array<string>"))))
-        grams = words.select("lang", "n", F.explode(spread).alias("item")).groupBy("lang", "item").agg(F.sum("n").alias("n"))
-        word_rows, gram_rows = often(words), often(grams)
-    finally:
-        words.unpersist()
+    counted = chosen(rows, "lang", "h", bounds).select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_NATIVE_WORD), F.lit(0))).alias("item")).groupBy("lang", "item").agg(F.count("*").alias("n"))
+    words, path = materialise(counted, "words")
+
+    def often(counted: DataFrame) -> list:
+        keep = counted.groupBy("item").agg(F.sum("n").alias("all")).where(F.col("all") >= settings.least).select("item")
+        got = counted.join(keep, "item", "left_semi").select("item", "lang", "n").toArrow().to_pydict()
+        return sorted(zip(got["item"], got["lang"], got["n"], strict=True))
+
+    marked = F.concat(F.lit("<"), F.col("item"), F.lit(">"))
+    sizes = F.array(*map(F.lit, range(1, settings.longest + 1)))
+    spread = F.flatten(F.transform(sizes, lambda k: F.when(F.length(marked) >= k, F.transform(F.sequence(F.lit(1), F.length(marked) - k + 1), lambda i: F.substring(marked, i, k))).otherwise(F.array().cast("array<string>"))))
+    grams = words.select("lang", "n", F.explode(spread).alias("item")).groupBy("lang", "item").agg(F.sum("n").alias("n"))
+    word_rows, gram_rows = often(words), often(grams)
+    discard(labelled.sparkSession, path)
     langs = sorted({r[1] for r in gram_rows} | {r[1] for r in word_rows})
     known, word_scores = _frequencies(word_rows, langs, settings.smoothing)
     grams, gram_scores = _frequencies(gram_rows, langs, settings.smoothing)
