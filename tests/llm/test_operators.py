@@ -555,10 +555,33 @@ def test_copies_that_differ_in_words_go(spark, crowd):
     assert kept == {i for i, c in got.items() if i == c}
 
 
+@pytest.mark.parametrize("crowd", [8, 64])
+def test_a_crowd_of_near_copies_is_linked_as_by_all_pairs(spark, crowd):
+    r, vocabulary = random.Random(9), [f"w{n}" for n in range(40)]
+    base = [r.choice(vocabulary) for _ in range(120)]
+    texts = []
+    for _ in range(160):
+        copy = list(base)
+        for _ in range(r.choice([0, 1, 2, 3, 4, 5, 6, 8])):
+            copy[r.randrange(len(copy))] = r.choice(vocabulary)
+        texts.append(" ".join(copy))
+    sets = [set(neardup.shingle_set(t).tolist()) for t in texts]
+    first = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and first[i] != first[j]:
+                old, new = max(first[i], first[j]), min(first[i], first[j])
+                first = [new if f == old else f for f in first]
+    got = {x.doc_id: x.component_id for x in neardup.groups(spark.createDataFrame(enumerate(texts), "doc_id long, text string"), crowd=crowd).collect()}
+    assert got == dict(enumerate(first)) and 3 < len(set(first)) < 150
+
+
 def test_one_of_each_group_stays(spark, docs, empty):
     kept = table(simhash.keep_one(docs), "doc_id")
     assert kept == sorted([(i,) for i in (1, 4, 5, 6, 7, 9, 10, 11, 12, 13, None)], key=repr)
     assert simhash.keep_one(docs).columns == docs.columns
+    again = docs.unionByName(docs.where("doc_id in (4, 9) or doc_id is null")).unionByName(docs.where("doc_id = 4").withColumn("source", F.lit("b"))).unionByName(docs.where("doc_id is null").withColumn("text", F.lit("another one without an id")))
+    assert table(simhash.keep_one(again), "doc_id") == sorted([*kept, (None,)], key=repr) and simhash.keep_one(again).columns == docs.columns
     assert simhash.keep_one(empty).count() == 0
     assert simhash.groups(empty).count() == 0
 
