@@ -21,20 +21,6 @@ def word_recall(actual: Column, expected: Column) -> Column:
     return let(F.struct(have.alias("have"), want.alias("want")), share)
 
 
-def recall_of_texts(rows: DataFrame, key: str, actual: str, expected: str) -> DataFrame:
-    """(key, word_recall) as ``word_recall``, of texts of any length: each text's words are counted, not searched for one by one.
-
-    key is unique.  Expected and actual words meet in one aggregation.
-    """
-    want = F.filter(tokens(fold_metric(F.col(expected))), is_word)
-    have = F.array_distinct(tokens(fold_metric(F.col(actual))))
-    side = lambda words, n: F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.struct(w.alias("w"), F.lit(n).alias("want"), F.lit(1 - n).alias("have")))
-    nothing = F.array(F.struct(F.lit(None).cast("string").alias("w"), F.lit(0).alias("want"), F.lit(0).alias("have")))  # keeps texts without words
-    each = rows.select(key, F.explode(F.concat(side(want, 1), side(have, 0), nothing)).alias("x")).select(key, "x.*")
-    met = each.groupBy(key, "w").agg(F.sum("want").alias("want"), F.max("have").alias("have"))
-    return met.groupBy(key).agg(F.coalesce(F.round(F.try_divide(F.sum(F.col("want") * F.col("have")), F.sum("want")), 6), F.lit(1.0)).alias("word_recall"))
-
-
 def char_similarity(actual: Column, expected: Column) -> Column:
     return ratio(fold_metric(actual), fold_metric(expected))
 
