@@ -1,12 +1,17 @@
-"""Near-duplicate groups by the Jaccard similarity of word shingles.
-
-Texts with the same set of shingles are one node.  MinHash bands name candidates: two sets of
-similarity s share a band of r values with probability s ** r, so of pairs at 0.8 three in a
-million share none of 24 bands of 4.  Each candidate pair is verified by the exact similarity
-of its sets.  A band value that very many nodes share is not expanded into pairs: its nodes
-are compared with one of them, the most usual.  Nodes that are still apart then meet on the
-rarest of their shingles, of which two alike sets share one; shingles that a node has alone
-bound what it can have in common with any other, so that most meet none.
+"""Near-duplicate groups by SimHash with pigeonring filtering, decided by the Jaccard similarity of word shingles.
+
+Texts with the same set of shingles are one node, with the SimHash of that set as its
+fingerprint.  Fingerprints meet on the equal heads of pigeonring chains, see ``simhash``;
+pairs within the chain's budgets and ``MOST`` bits are verified by the exact similarity of
+their sets, and link.  Two sets at 0.8 differ in some ten bits, and the heads of so wide a
+budget have about six, on which very many others meet; so what fingerprints leave apart has a
+further way: MinHash bands name candidates.  Two sets of similarity s share a band of r values
+with probability s ** r, so of pairs at 0.8 three in a million share none of 24 bands of 4.
+Those whose nodes are not yet linked are verified in the same way.  A head or band value that
+very many nodes share is not expanded into pairs: its nodes are compared with one of them, the
+most usual.  Nodes of such bands that are still apart then meet on the rarest of their
+shingles, of which two alike sets share one; shingles that a node has alone bound what it can
+have in common with any other, so that most meet none.
 """
 
 from __future__ import annotations
@@ -21,8 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import arrow_schema, discard, map_rows, materialise, slices, typed
 from .components import connected_components
-from .simhash import _LOWER, SEED, one_of_each
+from .simhash import _LOWER, SEED, close, heads, majority, one_of_each
 
+#: Bits in which fingerprints that meet may differ, and the segments of the ring.
+MOST, SEGMENTS = 4, 9
 BANDS, ROWS = 24, 4
 #: Places of the table that tells rare shingles, a byte each.
 COUNTERS = 1 << 22
@@ -54,15 +61,45 @@ def bands(shingles: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words: int = 5) -> DataFrame:
-    """(id, text_hash, node, bands) of every row; node is a digest of the set of shingles, text_hash as in ``simhash``."""
+    """(id, text_hash, node, fp, size, bands) of every row; node is a digest of the set of shingles, fp its SimHash, text_hash as in ``simhash``."""
 
     def row(key, value):
         digest = xxhash.xxh64_intdigest((value or "").encode(), SEED)
         held = shingle_set(value, words)
         node = xxhash.xxh64_intdigest(held.tobytes(), SEED)
-        return key, digest - (1 << 64) if digest >> 63 else digest, node - (1 << 64) if node >> 63 else node, bands(held)
+        return key, digest - (1 << 64) if digest >> 63 else digest, node - (1 << 64) if node >> 63 else node, majority(held), len(held), bands(held)
 
-    return map_rows(docs, [id_column, text], lambda: row, f"{typed(docs, id_column)},text_hash bigint,node bigint,bands array<bigint>")
+    return map_rows(docs, [id_column, text], lambda: row, f"{typed(docs, id_column)},text_hash bigint,node bigint,fp bigint,size int,bands array<bigint>")
+
+
+def _stars(many: DataFrame, key: list[str], *more: str) -> DataFrame:
+    """Rows of many (key, node, members, more) with the centre of their crowd: its most usual node, which stands in the largest crowds."""
+    weights = many.groupBy("node").agg(F.sum("members").alias("weight"))
+    centres = many.join(weights, "node").groupBy(*key).agg(F.max(F.struct("weight", "node", *more)).alias("centre"))
+    return many.join(centres, key).where("centre.node <> node")
+
+
+def _meeting(nodes: DataFrame, least: float, crowd: int) -> tuple[DataFrame, str]:
+    """Pairs (a, b) of nodes (node, fp, size) within ``MOST`` bits, of sizes that can be ``least`` alike; and the table that they read.
+
+    Heads of at most ``crowd`` nodes give all such pairs, larger ones those with their centre.
+    Sets that are ``least`` alike have sizes in the same class or in two that adjoin: a node
+    stands in its own (``own``) and in the next.
+    """
+    of = F.floor(F.log("size") / (1e-6 - math.log(least))).cast("int")
+    keyed = nodes.select("node", "fp", of.alias("class"), F.explode(heads(F.col("fp"), MOST, SEGMENTS)).alias("head"))
+    keyed = keyed.select("node", "fp", "head.start", "head.bits", F.posexplode(F.array(F.col("class"), F.col("class") + 1)).alias("next", "class"))
+    keyed = keyed.select("node", "fp", "start", "bits", "class", (F.col("next") == 0).alias("own"))
+    key = ["start", "bits", "class"]
+    sizes = keyed.groupBy(*key).agg(F.count("*").alias("members")).where("members > 1")
+    met, path = materialise(keyed.join(sizes, key), "heads")
+    few, many = met.where(F.col("members") <= crowd), met.where(F.col("members") > crowd)
+    a, b = few.alias("a"), few.alias("b")
+    same = (F.col("a.start") == F.col("b.start")) & (F.col("a.bits") == F.col("b.bits")) & (F.col("a.class") == F.col("b.class"))
+    one = (F.col("a.node") < F.col("b.node")) & (F.col("a.own") | F.col("b.own"))
+    pairs = a.join(b, same & one & close(F.col("a.start"), F.col("a.fp").bitwiseXOR(F.col("b.fp")), MOST, SEGMENTS)).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    star = _stars(many, key, "fp").where(F.bit_count(F.col("fp").bitwiseXOR(F.col("centre.fp"))) <= MOST)
+    return pairs.unionByName(star.select(F.least("centre.node", "node").alias("a"), F.greatest("centre.node", "node").alias("b"))).distinct(), path
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame, str]:
@@ -148,11 +185,14 @@ def groups(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words
     """
     spark = docs.sparkSession
     signed, _ = materialise(signatures(docs, text, id_column, words), "signatures")
-    nodes, nodes_path = materialise(signed.groupBy("node").agg(F.min(F.struct(id_column, "text_hash")).alias("of"), F.min(id_column).alias("rep"), F.first("bands").alias("bands")), "nodes")
+    nodes, nodes_path = materialise(signed.groupBy("node").agg(F.min(F.struct(id_column, "text_hash")).alias("of"), F.min(id_column).alias("rep"), F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("bands").alias("bands")), "nodes")
+    near, heads_path = _meeting(nodes, least, crowd)
+    near, near_path = materialise(near, "near")
     keyed = nodes.select("node", F.posexplode("bands").alias("band", "value"))
     sizes, sizes_path = materialise(keyed.groupBy("band", "value").agg(F.count("*").alias("members")).where("members > 1"), "sizes")
     met, met_path = materialise(keyed.join(sizes, ["band", "value"]), "met")
-    wanted = met.select("node").distinct().join(nodes, "node").select("node", F.col(f"of.{id_column}").alias("of_id"), F.col("of.text_hash").alias("of_hash"))
+    seen = met.select("node").unionByName(near.select(F.col("a").alias("node"))).unionByName(near.select(F.col("b").alias("node")))
+    wanted = seen.distinct().join(nodes, "node").select("node", F.col(f"of.{id_column}").alias("of_id"), F.col("of.text_hash").alias("of_hash"))
     of = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     texts = of.join(wanted, of["id"].eqNullSafe(F.col("of_id")) & (F.xxhash64(F.coalesce(of["text"], F.lit(""))) == F.col("of_hash"))).select("node", "text")
 
@@ -162,29 +202,33 @@ def groups(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words
 
     sets, sets_path = materialise(map_rows(texts, ["node", "text"], lambda: held, "node bigint,size int,held array<bigint>").dropDuplicates(["node"]), "sets")
 
+    linked, linked_path = _verified(near, sets, least)
+    labels = connected_components(linked)
+
     few, many = met.where(F.col("members") <= crowd), met.where(F.col("members") > crowd)
     a, b = few.alias("a"), few.alias("b")
     small = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.value") == F.col("b.value")) & (F.col("a.node") < F.col("b.node"))).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-    # the most usual node of a crowd is the one that stands in the largest crowds
-    weights = many.groupBy("node").agg(F.sum("members").alias("weight"))
-    centres = many.join(weights, "node").groupBy("band", "value").agg(F.max(F.struct("weight", "node"))["node"].alias("centre"))
-    star = many.join(centres, ["band", "value"]).where("centre <> node").select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
-    edges, edges_path = _verified(small.unionByName(star).distinct(), sets, least)
-    paths = [nodes_path, sizes_path, met_path, sets_path, edges_path]
+    star = _stars(many, ["band", "value"]).select(F.least("centre.node", "node").alias("a"), F.greatest("centre.node", "node").alias("b"))
+    left = small.unionByName(star).distinct()
+    for side in ("a", "b"):
+        left = left.join(labels.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}")), side, "left")
+    rest, rest_path = _verified(left.where("not coalesce(of_a = of_b, false)").select("a", "b"), sets, least)
+    edges = linked.unionByName(rest)
+    paths = [nodes_path, heads_path, near_path, sizes_path, met_path, sets_path, linked_path, rest_path]
 
     labels = connected_components(edges)
     labelled, labelled_path = materialise(many.select("band", "value", "node").join(labels, "node", "left").select("band", "value", "node", F.coalesce("component", "node").alias("component")), "labelled")
     paths.append(labelled_path)
     split = labelled.groupBy("band", "value").agg((F.min("component") < F.max("component")).alias("split")).where("split").select("band", "value")
     if split.limit(1).count():
-        rest, rest_path = materialise(labelled.join(split, ["band", "value"]).select("node", "component").distinct(), "rest")
-        met_again, more_paths = _apart(rest, sets, least)
+        still, still_path = materialise(labelled.join(split, ["band", "value"]).select("node", "component").distinct(), "rest")
+        met_again, more_paths = _apart(still, sets, least)
         more, more_path = _verified(met_again, sets, least)
         labels = connected_components(edges.unionByName(more))
-        paths += [rest_path, more_path, *more_paths]
+        paths += [still_path, more_path, *more_paths]
     placed = nodes.select("node", "rep").join(labels, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
     least_id = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
-    found, _ = materialise(signed.drop("bands").join(placed.join(least_id, "component").select("node", "component_id"), "node").select(id_column, "text_hash", "component_id"), "found")
+    found, _ = materialise(signed.drop("fp", "size", "bands").join(placed.join(least_id, "component").select("node", "component_id"), "node").select(id_column, "text_hash", "component_id"), "found")
     discard(spark, *paths)
     return found
 

@@ -40,7 +40,11 @@ def fingerprint(text: str | None, words: int = 3) -> int:
         shingles = [b"%b %b %b" % x for x in zip(tokens, tokens[1:], tokens[2:], strict=False)]
     else:
         shingles = [join(tokens[i : i + words]) for i in range(n - words + 1)]
-    h = np.array([hashed(s, SEED) for s in shingles], dtype="<u8")
+    return majority(np.array([hashed(s, SEED) for s in shingles], dtype="<u8"))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that over half of the hashes have, as a signed 64-bit integer."""
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(h), 65_536):
         ones += np.unpackbits(h[at : at + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -81,6 +85,22 @@ def chain(count: int, start: int, most: int, differ: Column) -> Column:
     return ok
 
 
+def heads(fp: Column, most: int, count: int) -> Column:
+    """(start, bits) of each segment of the ring: the part that is equal if a chain begins there."""
+    free = -(-count // most) - 1
+    if free < 1:
+        raise ValueError("too few segments for so many differing bits")
+    return F.array(*(F.struct(F.lit(i).alias("start"), fp.bitwiseAND(F.lit(_signed(_mask(count, i, free)))).alias("bits")) for i in range(count)))
+
+
+def close(start: Column, differ: Column, most: int, count: int) -> Column:
+    """Whether no more than ``most`` bits differ, and a chain begins at start."""
+    kept = F.lit(False)
+    for i in range(count):
+        kept = kept | ((start == i) & chain(count, i, most, differ))
+    return (F.bit_count(differ) <= most) & kept
+
+
 def links(held: DataFrame, most: int = 2, count: int = 7, crowd: int = 128) -> tuple[DataFrame, list[str]]:
     """Edges (a, b) between different fingerprints at most ``most`` bits apart, or what links the same groups.
 
@@ -89,13 +109,7 @@ def links(held: DataFrame, most: int = 2, count: int = 7, crowd: int = 128) -> t
     each string one bit away, which links the same groups.  That way is exact for ``most`` = 2
     only; for other values all keys are compared pair by pair.  Also returns the tables written.
     """
-    free = -(-count // most) - 1
-    if free < 1:
-        raise ValueError("too few segments for so many differing bits")
-    keyed = held.select(
-        "fp",
-        F.explode(F.array(*(F.struct(F.lit(i).alias("start"), F.col("fp").bitwiseAND(F.lit(_signed(_mask(count, i, free)))).alias("bits")) for i in range(count)))).alias("key"),
-    ).select("fp", "key.start", "key.bits")
+    keyed = held.select("fp", F.explode(heads(F.col("fp"), most, count)).alias("key")).select("fp", "key.start", "key.bits")
     shared = keyed.groupBy("start", "bits").agg(F.count("*").alias("members")).where("members > 1")
     sizes, sizes_path = materialise(shared, "sizes")
     met, met_path = materialise(keyed.join(sizes, ["start", "bits"]), "met")
@@ -103,11 +117,8 @@ def links(held: DataFrame, most: int = 2, count: int = 7, crowd: int = 128) -> t
     if most == 2:
         a, b = a.where(F.col("members") <= crowd), b.where(F.col("members") <= crowd)
     differ = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
-    kept = F.lit(False)
-    for i in range(count):
-        kept = kept | ((F.col("a.start") == i) & chain(count, i, most, differ))
     same_key = (F.col("a.start") == F.col("b.start")) & (F.col("a.bits") == F.col("b.bits"))
-    pairs = a.join(b, same_key & (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(differ) <= most) & kept).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
+    pairs = a.join(b, same_key & (F.col("a.fp") < F.col("b.fp")) & close(F.col("a.start"), differ, most, count)).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
     paths = [sizes_path, met_path]
     if most == 2:
         crowded, crowded_path = materialise(met.where(F.col("members") > crowd).select("fp").distinct(), "crowded")

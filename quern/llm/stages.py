@@ -23,7 +23,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group linked by five-word shingles at least 0.8 alike: that of the least doc_id, once."""
+    """Keeps one document of each group linked by five-word shingles at least 0.8 alike: that of the least doc_id, once.
+
+    SimHash fingerprints of those shingles meet by pigeonring first; what they leave apart is found by bands, see ``neardup``.
+    """
     return neardup.keep_one(docs)
 
 

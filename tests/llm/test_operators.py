@@ -576,6 +576,36 @@ def test_a_crowd_of_near_copies_is_linked_as_by_all_pairs(spark, crowd):
     assert got == dict(enumerate(first)) and 3 < len(set(first)) < 150
 
 
+@pytest.mark.parametrize("crowd", [2, 64])
+def test_near_copies_link_by_fingerprints_before_any_band(spark, crowd, monkeypatch):
+    r, texts = random.Random(12), []
+    for k in range(25):
+        words = prose(200 + 40 * k, 70 + k, [f"w{n}" for n in range(400)]).split()
+        for some in range(6 if k else 40):
+            copy = list(words)
+            for _ in range(some % 6):
+                copy[r.randrange(len(copy))] = f"n{r.random()}"
+            texts.append(" ".join(copy) + (" more" * 200 if some % 6 == 5 else ""))
+    found = [neardup.shingle_set(t) for t in texts]
+    nodes = {x.tobytes(): (n, simhash.majority(x), len(x)) for n, x in enumerate(found)}
+    bits = {n: fp for n, fp, _ in nodes.values()}
+    near = {(a, b) for a in bits for b in bits if a < b and ((bits[a] ^ bits[b]) & (2**64 - 1)).bit_count() <= neardup.MOST}
+    sets = {n: set(found[n].tolist()) for n in bits}
+    alike = {(a, b) for a, b in near if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    met, _ = neardup._meeting(spark.createDataFrame(list(nodes.values()), "node long, fp long, size int"), 0.8, crowd)
+    got = {(x.a, x.b) for x in met.collect()}
+    assert len(alike) > 50 and got <= near and len(got) > 20
+    if crowd == 64:
+        assert alike <= got and all(len(sets[a]) <= 1.6 * len(sets[b]) and len(sets[b]) <= 1.6 * len(sets[a]) for a, b in got)
+        monkeypatch.setattr(neardup, "bands", lambda x: x.sum(keepdims=True).view(np.int64))  # no two share one
+        first = {n: n for n in bits}
+        for _ in bits:
+            for a, b in alike:
+                first[a] = first[b] = min(first[a], first[b])
+        rows = spark.createDataFrame([(n, texts[n]) for n in bits], "doc_id long, text string")
+        assert {x.doc_id: x.component_id for x in neardup.groups(rows).collect()} == first
+
+
 def test_one_of_each_group_stays(spark, docs, empty):
     kept = table(simhash.keep_one(docs), "doc_id")
     assert kept == sorted([(i,) for i in (1, 4, 5, 6, 7, 9, 10, 11, 12, 13, None)], key=repr)
