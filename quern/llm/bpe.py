@@ -12,13 +12,12 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from functools import lru_cache
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from .common import map_rows, typed
+from .common import kept, map_rows, typed
 
 #: Pieces, and pairs of tokens, that a worker remembers; beyond it forgets.  They bound memory only.
 REMEMBERED, PAIRS = 300_000, 400_000
@@ -206,10 +205,12 @@ class Encoder:
         return np.frombuffer(self.packed(text), dtype="<u4").tolist()
 
 
-@lru_cache(maxsize=2)
 def _encoder(raw: bytes, pattern: str) -> Encoder:
-    pairs = map(bytes.split, raw.splitlines())
-    return Encoder(Codec({base64.b64decode(p[0]): int(p[1]) for p in pairs if p}), pattern)
+    def make():
+        pairs = map(bytes.split, raw.splitlines())
+        return Encoder(Codec({base64.b64decode(p[0]): int(p[1]) for p in pairs if p}), pattern)
+
+    return kept((Encoder, raw, pattern), make)
 
 
 def load(path: str, pattern: str) -> Encoder:
@@ -273,8 +274,8 @@ def tokens(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path:
         encoder = _encoder(raw, pattern)
 
         def row(key, value):
-            ids = encoder.ids(value or "")
-            return key, len(ids), ids, hashlib.sha256(encoder.codec.decode(ids)).hexdigest()
+            ids = np.frombuffer(encoder.packed(value or ""), dtype="<u4").astype(np.int32)  # a list of a slice's ids would take ten times as much
+            return key, len(ids), ids, hashlib.sha256(encoder.codec.decode(ids.tolist())).hexdigest()
 
         return row
 

@@ -7,7 +7,7 @@ import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -124,12 +124,15 @@ def map_rows(df: DataFrame, inputs: Iterable[str], make: Callable[[], Callable[.
     out = arrow_schema(schema)
     names = out.names
 
+    def told(f: Callable[..., tuple], part: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [f(*values) for values in zip(*(part.column(i).to_pylist() for i in range(len(inputs))), strict=True)]
+        columns = zip(*rows, strict=True) if rows else [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(columns, out, strict=True)], schema=out)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
         for part in slices(batches):
-            rows = [f(*values) for values in zip(*(part.column(i).to_pylist() for i in range(len(inputs))), strict=True)]
-            columns = zip(*rows, strict=True) if rows else [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(columns, out, strict=True)], schema=out)
+            yield told(f, part)  # a slice's Python objects go before the next one's are made
 
     return df.select(*inputs).mapInArrow(run, schema)
 
@@ -138,9 +141,13 @@ def slices(batches: Iterable[pa.RecordBatch], most: int = 4 << 20) -> Iterator[p
     """The batches in slices of about most bytes, so that Python objects of few rows exist at a time.
 
     Workers live on between tasks; Arrow's memory comes from the system's pool, which gives
-    large blocks back at once, and what the task before held is given back first.
+    large blocks back at once, and what the task before held is given back first, with what
+    is ``kept`` if this task has not asked for it by now.
     """
     pa.set_memory_pool(pa.system_memory_pool())
+    if not _Kept.asked:
+        _Kept.by_key.clear()
+    _Kept.asked = False
     give_back()
     for batch in batches:
         rows = max(1, batch.num_rows * most // max(batch.nbytes, 1))
@@ -149,6 +156,33 @@ def slices(batches: Iterable[pa.RecordBatch], most: int = 4 << 20) -> Iterator[p
     give_back()
 
 
+class _Kept:
+    """What this process keeps, by key, and whether the task at hand has asked for it."""
+
+    by_key: dict = {}
+    asked = False
+
+
+def kept(key: Hashable, make: Callable[[], object]):
+    """make(), which the worker keeps as long as its tasks ask for the same key before they read their rows.
+
+    A worker serves the tasks of all stages, so it keeps one thing at most: the tables of one
+    operator do not stay beside those of the next.
+    """
+    if key not in _Kept.by_key:
+        let_go()
+        _Kept.by_key[key] = make()
+    _Kept.asked = True
+    return _Kept.by_key[key]
+
+
+def let_go() -> None:
+    """Nothing is kept any more; for tasks that load something large of their own."""
+    _Kept.by_key.clear()
+    _Kept.asked = False
+    give_back()
+
+
 def give_back() -> None:
     """Freed memory goes from the C library to the system, where there is a way to say so."""
     gc.collect()

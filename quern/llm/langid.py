@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chosen, discard, least_hashes, map_rows, materialise, slices, typed
+from .common import chosen, discard, least_hashes, let_go, map_rows, materialise, slices, typed
 
 #: A word: letters (and marks that stand among them) without digits and signs.
 WORD = re.compile(r"[^\W\d_]+")
@@ -183,6 +183,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", id_column: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
+        let_go()
         predictor = Predictor(shared.value)
         return lambda key, value: (key, *predictor.predict(value))
 
@@ -200,6 +201,7 @@ def keep(docs: DataFrame, model: Model, least: float, text: str = "text", fit: f
     at = docs.columns.index(text)
 
     def run(batches):
+        let_go()
         predictor = Predictor(shared.value)
         for batch in slices(batches):
             texts = batch.column(at).to_pylist()

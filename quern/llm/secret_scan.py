@@ -11,12 +11,11 @@ import base64
 import hashlib
 import re
 from bisect import bisect_left
-from functools import lru_cache
 from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
-from .common import map_rows, slices, typed
+from .common import kept, map_rows, slices, typed
 
 #: The fixed forms by kind, in their order: pattern, and least length of the group that counts.
 KINDS = {
@@ -65,12 +64,14 @@ def is_known(run: str, tokenizer, most: float) -> bool:
     return sum(len(p) for p in words if not is_hard(p, tokenizer, most)) >= 0.7 * len(run)
 
 
-@lru_cache(maxsize=2)
 def _tokenizer(raw: bytes, pattern: str):
     import tiktoken
 
-    ranks = {base64.b64decode(p[0]): int(p[1]) for p in map(bytes.split, raw.splitlines()) if p}
-    return tiktoken.Encoding("secrets", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    def make():
+        ranks = {base64.b64decode(p[0]): int(p[1]) for p in map(bytes.split, raw.splitlines()) if p}
+        return tiktoken.Encoding("secrets", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    return kept((tiktoken.Encoding, raw, pattern), make)
 
 
 def random_spans(text: str, tokenizer, most: float) -> list[tuple[int, int, str]]:

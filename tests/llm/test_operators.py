@@ -15,6 +15,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from quern.llm import bpe, decontam, langid, mpegts, neardup, pii, quality, queries, secret_scan, simhash, stages, urlfilter, warc
+from quern.llm.common import kept, let_go, map_rows, slices
 from quern.llm.components import connected_components
 
 WORDS = "the of and to in that with for was are from thing other blend ounce eran thion heor".split()
@@ -837,3 +838,27 @@ def test_bpe_rows(spark, docs, empty):
     assert table(bpe.digests(docs), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(want, key=repr)
     assert {r.doc_id: r.decoded for r in bpe.encode(docs).where("doc_id is not null").collect()} == {i: t or "" for i, t in AWKWARD if i is not None}
     assert bpe.digests(empty).count() == 0
+
+
+def test_workers_keep_the_tables_of_one_operator(spark):
+    """A worker that serves another operator's task holds no encoder any more; one that encodes again still has its own."""
+    rows = spark.range(0, 8, 1, 8).selectExpr("id as doc_id", "'a text' as text")
+
+    def alive():
+        import gc
+
+        return lambda key: (key, sum(type(x) is bpe.Encoder for x in gc.get_objects()))
+
+    assert bpe.tokens(rows).count() == 8
+    assert {r.n for r in map_rows(rows, ["doc_id"], alive, "doc_id bigint,n int").collect()} == {0}
+    made = []
+    for key in "aabba":
+        kept(key, lambda: made.append(key))
+        list(slices([]))
+    assert made == ["a", "b", "a"]
+    list(slices([]))
+    kept("a", lambda: made.append("a"))
+    let_go()
+    kept("a", lambda: made.append("a"))
+    assert made == ["a", "b", "a", "a", "a"]
+    let_go()
