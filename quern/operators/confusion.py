@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.charset import characters
 from quern.functions.sequences import confusions
 
 
@@ -15,6 +16,18 @@ def confusion_counts(pairs: DataFrame, truth: str = "truth", predicted: str = "p
     return each.groupBy(F.col("c.truth").alias("truth"), F.col("c.predicted").alias("predicted")).agg(F.sum("_n").alias("n"))
 
 
+def counts_by_place(pairs: DataFrame, truth: str = "truth", predicted: str = "predicted") -> DataFrame:
+    """(truth, predicted, n) of readings that keep each character's place: the n-th is compared with the n-th, and none is read as another's.
+
+    Matching blocks would take a digit that stands in the truth for the same digit as a misreading
+    (``a1`` read ``11``).  Characters beyond the shorter one's end are not told.
+    """
+    wrong = pairs.where(F.col(truth) != F.col(predicted)).groupBy(truth, predicted).agg(F.count("*").alias("_n"))
+    both = F.arrays_zip(characters(F.col(truth)).alias("truth"), characters(F.col(predicted)).alias("predicted"))
+    each = wrong.select("_n", F.explode(F.filter(both, lambda x: x["truth"] != x["predicted"])).alias("c"))
+    return each.groupBy(F.col("c.truth").alias("truth"), F.col("c.predicted").alias("predicted")).agg(F.sum("_n").alias("n"))
+
+
 def split_counts(counts: DataFrame, alike: list[tuple[str, str]]) -> DataFrame:
     """(homoglyph, shape): confusions between look-alikes, and others."""
     same = F.lit(False)
