@@ -32,6 +32,17 @@ def in_class(chars: str) -> str:
     return "".join(rf"\x{{{ord(c):x}}}" for c in chars)
 
 
+def ranges(chars: str) -> str:
+    """``in_class`` of the characters with neighbours as ranges: Java tries each member of a class in turn."""
+    found: list[list[int]] = []
+    for c in sorted(set(map(ord, chars))):
+        if found and found[-1][1] == c - 1:
+            found[-1][1] = c
+        else:
+            found.append([c, c])
+    return "".join(rf"\x{{{a:x}}}" if a == b else rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in found)
+
+
 def characters(text: Column) -> Column:
     """The code points of text, in order."""
     return F.filter(F.split(text, ""), lambda c: c != "")
@@ -55,12 +66,12 @@ def is_mixed_line(line: Column) -> Column:
 
 def strays(text: Column, allowed: str) -> Column:
     """The characters of text outside allowed, white space aside."""
-    return F.regexp_extract_all(text, F.lit(rf"(?U)[^\s{in_class(allowed)}]"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(rf"(?U)[^\s{ranges(allowed)}]"), F.lit(0))
 
 
 def is_covered(label: Column, allowed: str) -> Column:
     """Whether label has only characters of allowed (set membership)."""
-    return ~label.rlike(f"[^{in_class(allowed)}]")
+    return ~label.rlike(f"[^{ranges(allowed)}]")
 
 
 def stamp(allowed: str) -> Column:

@@ -5,19 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.charset import characters, in_class
+from quern.functions.charset import characters, ranges
+
+
+def _stray(text: Column | str, allowed: str) -> Column:
+    """text without the characters of allowed and without white space, which go in whole runs."""
+    return F.regexp_replace(text, rf"(?U)[\s{ranges(allowed)}]++", "")
 
 
 def stray_counts(docs: DataFrame, allowed: str, text: str = "text") -> DataFrame:
     """(ch, n) of the characters outside allowed, white space aside."""
-    chars = docs.select(F.explode(characters(F.regexp_replace(text, rf"[{in_class(allowed)}]|(?U:\s)", ""))).alias("ch"))
+    chars = docs.select(F.explode(characters(_stray(text, allowed))).alias("ch"))
     return chars.groupBy("ch").agg(F.count("*").alias("n"))
 
 
 def raw_and_residual(docs: DataFrame, allowed: str, normalise, text: str = "text") -> DataFrame:
     """(side, total, distinct_chars): strays before and after normalising."""
     sides = docs.select(F.explode(F.array(F.struct(F.lit("raw").alias("side"), F.col(text).alias("t")), F.struct(F.lit("residual").alias("side"), normalise(F.col(text)).alias("t")))).alias("s")).select("s.*")
-    chars = sides.select("side", F.explode(characters(F.regexp_replace("t", rf"[{in_class(allowed)}]|(?U:\s)", ""))).alias("ch"))
+    chars = sides.select("side", F.explode(characters(_stray("t", allowed))).alias("ch"))
     return chars.groupBy("side", "ch").agg(F.count("*").alias("n")).groupBy("side").agg(F.sum("n").alias("total"), F.count("*").alias("distinct_chars"))
 
 
