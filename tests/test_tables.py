@@ -1,5 +1,6 @@
 """Queries on small tables of odd rows, against their SQL."""
 
+import gzip
 import random
 import re
 
@@ -11,6 +12,7 @@ import __spark_entry__ as entry
 from quern.functions import charset
 from quern.operators import paged
 from quern.plans import derived
+from quern.sources import archive
 from tests.test_entry import plain
 
 
@@ -90,3 +92,35 @@ def test_ranges_are_the_same_characters():
 @pytest.mark.parametrize("name", ["stray_chars", "charset_diff_raw_residual", "usable_runs"])
 def test_characters_outside_the_set(against_sql, spark, name):
     against_sql(name, documents=documents(spark, ["aé b\tß\n日本 ☃☃", "[a]-^\\ {}|~_`@#$", "Ա՚և ք Ёё я" * 5, prose(3, 200), "", "\U0001f600é"]))
+
+
+def odd_bytes(n):
+    """Text that gzip cannot make small."""
+    r = random.Random(n)
+    return "".join(r.choice("abcdefghijklmnop qrstuvwxyzé\n日") for _ in range(n))
+
+
+@pytest.mark.parametrize("name", ["archive_texts", "archive_detections", "gzip_by_magic"])
+def test_contents_of_any_size_go_through(against_sql, spark, name, monkeypatch):
+    monkeypatch.setattr(archive, "HELD", 3000)
+    texts = [odd_bytes(n) for n in (0, 1, 4095, 4096, 4097, 9000, 70_000)] + [prose(i, 30) for i in range(40)]
+    against_sql(name, documents=documents(spark, texts))
+
+
+def test_archives_do_not_grow_with_the_table(spark):
+    files = spark.range(400).repartition(3).select(F.lit("p").alias("path"), F.format_string("text/%d.txt", "id").alias("member"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 40).alias("body"))
+    tars = archive.packed(files, "path", most=50_000)
+    held = tars.select("path", F.octet_length("content").alias("n")).collect()
+    assert len(held) >= 20 and {r.path for r in held} == {"p"}
+    found = archive.members(tars)
+    assert found.count() == 400 and found.select("member", F.col("data").cast("string").alias("body")).exceptAll(files.select("member", "body")).isEmpty()
+    plan = archive.texts(tars)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "ArrowEvalPython" not in plan  # no list of a key's files, and no batch of many contents
+
+
+def test_a_batch_of_large_contents_comes_in_pieces(spark):
+    held = spark.range(3).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 1_000_000).cast("binary").alias("content"))
+    longest = archive._pieces(held, "content").agg(F.max(F.octet_length("piece")), F.count("*")).first()
+    assert tuple(longest) == (archive.PIECE, 3 * -(-1_000_000 // archive.PIECE))
+    packed = archive.rewritten(held.union(spark.createDataFrame([(7, None), (8, bytearray())], "doc_id long, content binary")), lambda i, x: gzip.compress(x) if i != 1 else x)
+    assert sorted((r.doc_id, r.content and len(r.content)) for r in archive.unpacked(packed).collect()) == [(0, 1_000_000), (1, 1_000_000), (2, 1_000_000), (7, None), (8, bytearray())]
