@@ -124,3 +124,20 @@ def test_a_batch_of_large_contents_comes_in_pieces(spark):
     assert tuple(longest) == (archive.PIECE, 3 * -(-1_000_000 // archive.PIECE))
     packed = archive.rewritten(held.union(spark.createDataFrame([(7, None), (8, bytearray())], "doc_id long, content binary")), lambda i, x: gzip.compress(x) if i != 1 else x)
     assert sorted((r.doc_id, r.content and len(r.content)) for r in archive.unpacked(packed).collect()) == [(0, 1_000_000), (1, 1_000_000), (2, 1_000_000), (7, None), (8, bytearray())]
+
+
+@pytest.mark.parametrize("name", ["word_recall_doc", "macro_word_recall"])
+def test_words_of_a_text_stay_in_its_row(against_sql, spark, tmp_path, name):
+    texts = [prose(i, 40 + 30 * i) for i in range(12)] + ["", None, "-- ,, ·", "a a b e1 e1 a o", "ԵՒ եւ և a․b a:b " * 5, "x y\ty\n\n z " * 9]
+    assert against_sql(name, documents=documents(spark, texts))
+    plan = entry.queries()[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "explode" not in plan.replace("explode(transform(sequence", "") and "collect_list" not in plan
+    against_sql(name, documents=documents(spark, texts[:9]).union(documents(spark, [prose(7, 50), "a", "e o"])))
+
+
+def test_costly_lines_are_dealt_out(spark, tmp_path):
+    said = spark.createDataFrame([(1, i, "user", f"line {i} of a text\nand more of it") for i in range(40)], "conv_id long, turn int, role string, text string")
+    said.coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
+    for name in ("char_similarity", "stage_means"):
+        plan = entry.queries()[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("ArrowEvalPython") < plan.index("Exchange RoundRobinPartitioning") < plan.index("FileScan"), plan
