@@ -1,15 +1,17 @@
 """Queries on small tables of odd rows, against their SQL."""
 
+import difflib
 import gzip
 import random
 import re
+import time
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from quern.functions import charset
+from quern.functions import charset, sequences
 from quern.operators import paged
 from quern.plans import derived
 from quern.sources import archive
@@ -141,3 +143,31 @@ def test_costly_lines_are_dealt_out(spark, tmp_path):
     for name in ("char_similarity", "stage_means"):
         plan = entry.queries()[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
         assert plan.index("ArrowEvalPython") < plan.index("Exchange RoundRobinPartitioning") < plan.index("FileScan"), plan
+
+
+def test_blocks_by_runs_are_the_plain_ones(monkeypatch):
+    r = random.Random(9)
+    for cells, few in ((0, 0), (0, 5), (0, 10_000), (sequences.CELLS[0], sequences.FEW)):
+        monkeypatch.setattr(sequences, "CELLS", (cells, 4_000_000))
+        monkeypatch.setattr(sequences, "FEW", few)
+        for _ in range(150):
+            letters = r.choice(["ab", "abcdé", "abcdefghijklmnop 日"])
+            a = "".join(r.choice(letters) for _ in range(r.randint(0, 90)))
+            b = "".join(r.choice(letters) if r.random() < 0.3 else c for c in a if r.random() > 0.1) + r.choice(["", a[:20]])
+            for x, y in ((a, b), (list(a), list(b))):
+                plain_one, mine = difflib.SequenceMatcher(None, x, y, autojunk=False), sequences._matcher(x, y)
+                assert plain_one.get_opcodes() == mine.get_opcodes() and plain_one.ratio() == mine.ratio(), (x, y)
+
+
+def test_a_long_line_is_compared_in_time():
+    line = prose(4, 700)[:1900]
+    read = line.translate(str.maketrans("aeo", "eoa"))
+    began = time.process_time()
+    slow = difflib.SequenceMatcher(None, read, line, autojunk=False).ratio()
+    between = time.process_time()
+    assert sequences.similarity(read, line) == slow and time.process_time() - between < between - began
+
+
+@pytest.mark.parametrize("name", ["tau_sweep", "tau_by_verdict"])
+def test_tokens_read_as_they_are_do_not_meet_the_lexicon(against_sql, spark, tmp_path, name):
+    against_sql(name, documents=documents(spark, [prose(i, 200) + " aa ea, «naïve» a x" * 4 for i in range(8)] + ["", None]))
